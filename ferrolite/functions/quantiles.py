@@ -14,7 +14,7 @@ def long_values(df: DataFrame, cols, group=()) -> DataFrame:
     return df.select(*as_list(group), F.inline(pairs)).where("value IS NOT NULL")
 
 
-def quantiles_long(long: DataFrame, probs: dict[str, float], group) -> DataFrame:
+def quantiles_long(long: DataFrame, probs: dict[str, float], group, distinct: str | None = None) -> DataFrame:
     """Quantiles of `value` per group: equal values are counted first, then running counts locate the ranks."""
     group = as_list(group)
     counts = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("__cnt"))
@@ -33,13 +33,16 @@ def quantiles_long(long: DataFrame, probs: dict[str, float], group) -> DataFrame
         lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         frac = F.lit(p) * (F.col("__n") - 1) - F.floor(F.lit(p) * (F.col("__n") - 1))
         outs.append((lo + (hi - lo) * frac).alias(name))
+    if distinct:
+        aggs.append(F.count(F.lit(1)).alias(distinct))
+        outs.append(F.col(distinct))
     table = cum.groupBy(*group).agg(F.max("__n").alias("__n"), *aggs)
     return table.select(*group, *outs)
 
 
-def quantiles(df: DataFrame, cols, probs: dict[str, float], group=()) -> DataFrame:
+def quantiles(df: DataFrame, cols, probs: dict[str, float], group=(), distinct: str | None = None) -> DataFrame:
     """One row per (group, column)."""
-    return quantiles_long(long_values(df, cols, group), probs, [*as_list(group), "column"])
+    return quantiles_long(long_values(df, cols, group), probs, [*as_list(group), "column"], distinct)
 
 
 def quantile_row(df: DataFrame, value, probs: dict[str, float]) -> DataFrame:

@@ -137,27 +137,27 @@ def _(t):
     return S.expand_struct(df.drop("props"), "response", drop="error")
 
 
-def _turns(t):
-    """Nested result per conversation: an array of (turn, role, text), as a web API would return it."""
-    return (t.conversations.groupBy("conv_id")
-            .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")))
+def _sections(t):
+    """Nested result per document: one struct (idx, text, size) per line of its text."""
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text"), F.length(x).alias("size")))
+    return t.documents.select("doc_id", lines.alias("sections"))
 
 
-@query("flatten_results", "B20", sql="SELECT conv_id, role FROM conversations")
+@query("flatten_results", "B20", sql="SELECT doc_id, length(unnest(string_split(text, chr(10))))::INT AS size FROM documents")
 def _(t):
-    return S.flatten_results(_turns(t), "turns", "role", "role")
+    return S.flatten_results(_sections(t), "sections", "size", "size")
 
 
-@query("first_of", "B21", sql="""WITH c AS (SELECT conv_id, role, turn FROM conversations)
-  SELECT conv_id, min_by(role, turn) FILTER (role = 'system') AS first_system FROM c GROUP BY 1""")
+@query("first_of", "B21", sql="""SELECT doc_id, length(list_filter(string_split(text, chr(10)), lambda x: length(x) > 200)[1])::INT AS size
+  FROM documents""")
 def _(t):
-    df = _turns(t).withColumn("turns", F.filter("turns", lambda e: e["role"] == "system"))
-    return S.first_of(df, "turns", "role", "first_system").drop("turns")
+    df = _sections(t).withColumn("sections", F.filter("sections", lambda e: e["size"] > 200))
+    return S.first_of(df, "sections", "size", "size").drop("sections")
 
 
-@query("join_lines", "B22", sql="SELECT conv_id, md5(string_agg(text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY 1")
+@query("join_lines", "B22", sql="SELECT doc_id, md5(replace(text, chr(10), ' / ')) AS digest FROM documents")
 def _(t):
-    return S.join_lines(_turns(t), "turns", "text", "lines").select("conv_id", F.md5("lines").alias("digest"))
+    return S.join_lines(_sections(t), "sections", "text", "lines", " / ").select("doc_id", F.md5("lines").alias("digest"))
 
 
 @query("to_json_request", "B23", sql="""SELECT l_quantity AS quantity, count(*) AS n,

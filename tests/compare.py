@@ -80,7 +80,7 @@ if __name__ == "__main__":
     sf_dir = DATA.format(sys.argv[1])
     spark, con, failures = session(), connect(sf_dir), 0
     for name, entry in ENTRIES.items():
-        if len(sys.argv) > 2 and not any(a in name or a in entry.items for a in sys.argv[2:]):
+        if len(sys.argv) > 2 and not any(a in name or any(i.rstrip("0123456789") == a or i == a for i in entry.items) for a in sys.argv[2:]):
             continue
         start = time.time()
         try:
