@@ -20,10 +20,10 @@ def level_table(df: DataFrame, col: str, order: str = "frequency", by: str | Non
 
 def encode_levels(df: DataFrame, col: str, levels: DataFrame, out: str, unknown: int | None = None) -> DataFrame:
     """Code of each value; unseen or null values get `unknown`."""
-    codes = levels.select(F.col("level").alias("__k"), F.col("code").alias("__code"))
+    codes = levels.select(F.col("level").alias("__k"), F.col("code").alias("__lv"))
     joined = df.join(codes, F.col(col) == F.col("__k"), "left")
-    code = F.col("__code") if unknown is None else F.coalesce("__code", F.lit(unknown))
-    return joined.withColumn(out, code).drop("__k", "__code")
+    code = F.col("__lv") if unknown is None else F.coalesce("__lv", F.lit(unknown))
+    return joined.withColumn(out, code).drop("__k", "__lv")
 
 
 def decode_levels(df: DataFrame, col: str, levels: DataFrame, out: str) -> DataFrame:
