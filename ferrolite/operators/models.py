@@ -270,15 +270,32 @@ def _fold_frames(df: DataFrame, fold: str, k: int):
 
 
 def cross_val_predict(df: DataFrame, est: Estimator, k: int, key, label: str | None = None, seed: int = 1, keep=()) -> DataFrame:
-    """Out-of-fold predictions for every row; folds by key hash, class-balanced when a label is given."""
+    """Out-of-fold predictions for every row; folds by key hash, class-balanced when a label is given.
+
+    The k models are fitted on a cached frame; every row is then scored by all
+    of them in one pass and keeps the prediction of the model that has not seen it.
+    """
     folded = stratified_kfold(df, label, k, seed, key, "__fold") if label else kfold(df, k, seed, key, "__fold")
-    parts = []
-    for i, train, test in _fold_frames(folded, "__fold", k):
-        scored = est.fit(train).transform(test)
-        cols = [*as_list(key), *as_list(keep), "prediction"] + (["probability"] if "probability" in scored.columns else [])
-        parts.append(scored.select(*cols).withColumn("fold", F.lit(i)))
-    out = union_all(parts)
-    return out.withColumn("probability", vector_to_array("probability")) if "probability" in out.columns else out
+    cached = folded.persist()
+    try:
+        models = [est.fit(train) for _, train, _ in _fold_frames(cached, "__fold", k)]
+    finally:
+        cached.unpersist()
+    outs = {"prediction": "__p", "probability": "__q"}
+    scored = folded
+    for i, m in enumerate(models):
+        before = set(scored.columns)
+        scored = m.transform(scored)
+        scored = scored.drop(*[c for c in scored.columns if c not in before and c not in outs])
+        scored = scored.withColumnsRenamed({c: f"{p}{i}" for c, p in outs.items() if c in scored.columns and c not in before})
+
+    def own(prefix: str) -> Column:
+        return F.coalesce(*[F.when(F.col("__fold") == i, F.col(f"{prefix}{i}")) for i in range(k)])
+
+    cols = [*as_list(key), *as_list(keep), own("__p").alias("prediction"), F.col("__fold").alias("fold")]
+    if "__q0" in scored.columns:
+        cols.append(vector_to_array(own("__q")).alias("probability"))
+    return scored.select(*cols)
 
 
 def cross_val_score(df: DataFrame, est: Estimator, k: int, key, evaluator, label: str | None = None, seed: int = 1) -> DataFrame:

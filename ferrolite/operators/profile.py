@@ -257,3 +257,16 @@ def dataset_metafeatures(df: DataFrame, label: str, numeric, categorical, group=
         r(F.ln(F.sum("__c")) - F.sum(F.col("__c") * F.ln("__c")) / F.sum("__c")).alias("class_entropy"))
     out = same_keys(base, entropy, group) if group else with_row(base, entropy)
     return out.withColumns({"n_numeric": F.lit(len(numeric)), "n_categorical": F.lit(len(categorical))})
+
+
+def nearest_datasets(meta: DataFrame, key: str, target, features, k: int) -> DataFrame:
+    """The k datasets most like the target by L1 distance of range-scaled meta-features (ties by key).
+
+    The target is one row, attached as a scalar; its configuration donors can be joined by key.
+    """
+    features = as_list(features)
+    ranges = meta.agg(*[(F.max(dbl(f)) - F.min(dbl(f))).alias(f"__w_{f}") for f in features])
+    mine = meta.where(F.col(key) == target).agg(*[F.max(dbl(f)).alias(f"__t_{f}") for f in features])
+    rows = with_row(with_row(meta.where(F.col(key) != target), ranges), mine)
+    gap = sum((F.coalesce(div(F.abs(dbl(f) - F.col(f"__t_{f}")), F.col(f"__w_{f}")), F.lit(0.0)) for f in features), F.lit(0.0))
+    return rows.select(key, r(gap, 9).alias("distance")).orderBy("distance", key).limit(k)
