@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -14,3 +14,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: computed once, later branches read it back, a lost executor loses nothing."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -163,14 +163,24 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     return same_keys(df, sizes, label, "left")
 
 
-def oversample(df: DataFrame, label: str, seed, key) -> DataFrame:
-    """Repeat rows of small classes until each class has about the size of the largest; `copy` numbers the repeats."""
+def oversample(df: DataFrame, label: str, seed, key, chunk: int = 1024) -> DataFrame:
+    """Repeat rows of small classes until each class has about the size of the largest; `copy` numbers the repeats.
+
+    Where a row needs more than `chunk` copies, its copies are made in chunks spread over the tasks.
+    """
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
     sizes = with_row(sizes, sizes.agg(F.max("__c").alias("__max"))).select(label, (F.col("__max") / F.col("__c")).alias("__ratio"))
+    most = sizes.agg(F.max("__ratio")).first()[0] or 1.0
     rows = same_keys(df, sizes, label)
     whole = F.floor("__ratio")
-    extra = (unit_draw(seed, *as_list(key)) < F.col("__ratio") - whole).cast("int")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), whole + extra))).drop("__ratio")
+    copies = whole + (unit_draw(seed, *as_list(key)) < F.col("__ratio") - whole).cast("int")
+    rows = rows.withColumn("__copies", copies.cast("long")).drop("__ratio")
+    if most <= chunk:
+        return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__copies")
+    rows = rows.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / chunk))))
+    rows = rows.repartition(*as_list(key), "__chunk")
+    last = F.least(F.col("__copies"), (F.col("__chunk") + 1) * chunk)
+    return rows.withColumn("copy", F.explode(F.sequence(F.col("__chunk") * chunk + 1, last))).drop("__copies", "__chunk")
 
 
 def array_to_unit_rows(df: DataFrame, nested: str, out: str = "flat", levels: int = 1) -> DataFrame:

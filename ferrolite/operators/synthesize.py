@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.cols import NUMERIC, as_list, dbl, div, r, skew_safe_lookup, union_all, with_row
 from ..functions.ordered import framed, number_rows
+from ..functions.store import cut
 
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
@@ -210,57 +211,67 @@ def series_features(df: DataFrame, key: str, time, value: str, digits: int = 6)
                        r(auto, digits).alias("autocorrelation"))
 
 
-def _match_counts(windows: DataFrame, key: str, size: int, radius: float, block: int = 2048) -> DataFrame:
-    """(key, pos, c): windows of the same series whose largest coordinate gap is <= radius.
+def _match_counts(windows: DataFrame, key: str, m: int, radius: float, block: int) -> DataFrame:
+    """(key, w, times, c_short, c_long): distinct windows of m + 1 values, how often each occurs, and how many windows
+    of the series lie within the radius by their first m and by all m + 1 values.
 
-    A series of at most one block is compared as a whole. In longer ones only
-    windows whose first values fall into neighbouring slices of width `radius`
-    meet, block against block. A block pair yields counts, never pairs.
+    Equal windows are counted once, so a constant stretch costs one row. A series
+    of at most one block is compared as a whole. In longer ones only windows
+    whose first values fall into neighbouring slices of width `radius` meet,
+    block against block. A block pair yields counts, never pairs.
     """
-    long_series = F.col("n") > block
-    rows = windows.withColumn("cell", F.when(long_series, F.floor(F.col("w")[0] / radius).cast("long")).otherwise(0))
+    distinct = windows.groupBy(key, "w").agg(F.count(F.lit(1)).alias("times"))
+    rows = cut(distinct)
+    lengths = rows.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = rows.join(lengths, F.col(key) == F.col("__k")).drop("__k")
+    long_series = F.col("__n") > block
+    rows = rows.withColumn("cell", F.when(long_series, F.floor(F.col("w")[0] / radius).cast("long")).otherwise(0))
     sizes = rows.groupBy(key, "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    held = rows.join(sizes, [key, "cell"]).withColumn("block", F.pmod(F.xxhash64("pos"), F.col("blocks")).cast("int")).drop("blocks")
-    asks = held.select(F.col(key).alias("q_key"), F.col("pos").alias("q_pos"), F.col("w").alias("q_w"), F.col("cell").alias("q_cell"), F.col("block").alias("q_block"),
-                       F.explode(F.when(long_series, F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).otherwise(F.array("cell"))).alias("at"))
-    plan = sizes.select(F.col(key).alias("p_key"), F.col("cell").alias("p_cell"), F.col("blocks").alias("p_blocks"))
+    held = cut(rows.join(sizes, [key, "cell"]).withColumn("block", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int")))
+    near = F.when(long_series, F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).otherwise(F.array("cell"))
+    asks = held.select(F.col(key).alias("q_key"), F.col("w").alias("q_w"), F.col("times").alias("q_times"), F.col("cell").alias("q_cell"),
+                       F.col("block").alias("q_block"), F.explode(near).alias("at"))
+    plan = held.select(F.col(key).alias("p_key"), F.col("cell").alias("p_cell"), F.col("blocks").alias("p_blocks")).distinct()
     asks = (asks.join(plan, (F.col("q_key") == F.col("p_key")) & (F.col("at") == F.col("p_cell")))
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("p_blocks") - 1))).drop("p_key", "p_cell", "p_blocks"))
     pairs = asks.select(F.col("q_key").alias("t_key"), F.col("at").alias("t_cell"), F.col("part").alias("t_block"),
                         F.col("q_cell").alias("t_qc"), F.col("q_block").alias("t_qb")).distinct()
-    copies = held.join(pairs, (F.col(key) == F.col("t_key")) & (F.col("cell") == F.col("t_cell")) & (F.col("block") == F.col("t_block"))).select("t_key", "t_cell", "t_block", "t_qc", "t_qb", "w")
+    copies = (held.join(pairs, (F.col(key) == F.col("t_key")) & (F.col("cell") == F.col("t_cell")) & (F.col("block") == F.col("t_block")))
+              .select("t_key", "t_cell", "t_block", "t_qc", "t_qb", "w", "times"))
+    kind = windows.schema[key].dataType.simpleString()
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({key: [], "pos": [], "c": []})
-        other = np.stack(b["w"].to_numpy())[:, :size]
-        mine = np.stack(a["q_w"].to_numpy())[:, :size]
-        c = np.zeros(len(a), "int64")
+            return pd.DataFrame({key: [], "w": [], "times": [], "c_short": [], "c_long": []})
+        other, weight = np.stack(b["w"].to_numpy()), b["times"].to_numpy()
+        mine = np.stack(a["q_w"].to_numpy())
+        short, full = np.zeros(len(a), "int64"), np.zeros(len(a), "int64")
         for s in range(0, len(a), 128):
-            gap = np.zeros((len(mine[s:s + 128]), len(other)))
-            for d in range(size):
-                gap = np.maximum(gap, np.abs(mine[s:s + 128, d][:, None] - other[:, d][None, :]))
-            c[s:s + 128] = (gap <= radius).sum(1)
-        return pd.DataFrame({key: a["q_key"], "pos": a["q_pos"], "c": c})
+            part = mine[s:s + 128]
+            near_m = np.ones((len(part), len(other)), bool)
+            for d in range(m):
+                near_m &= np.abs(part[:, d][:, None] - other[:, d][None, :]) <= radius
+            short[s:s + 128] = near_m @ weight
+            full[s:s + 128] = (near_m & (np.abs(part[:, m][:, None] - other[:, m][None, :]) <= radius)) @ weight
+        return pd.DataFrame({key: a["q_key"], "w": a["q_w"], "times": a["q_times"], "c_short": short, "c_long": full})
 
-    kind = windows.schema[key].dataType.simpleString()
-    hits = (asks.groupBy("q_key", "at", "part", "q_cell", "q_block")
-            .cogroup(copies.groupBy("t_key", "t_cell", "t_block", "t_qc", "t_qb")).applyInPandas(count, f"{key} {kind}, pos long, c long"))
-    return hits.groupBy(key, "pos").agg(F.sum("c").alias("c"))
+    hits = (asks.groupBy("q_key", "at", "part", "q_cell", "q_block").cogroup(copies.groupBy("t_key", "t_cell", "t_block", "t_qc", "t_qb"))
+            .applyInPandas(count, f"{key} {kind}, w array<double>, times long, c_short long, c_long long"))
+    return hits.groupBy(key, "w").agg(F.first("times").alias("times"), F.sum("c_short").alias("c_short"), F.sum("c_long").alias("c_long"))
 
 
 def approx_entropy(df: DataFrame, key: str, time, value: str, m: int = 2, radius: float = 1.0, digits: int = 6, block: int = 2048) -> DataFrame:
     """Phi(m) - Phi(m + 1), Phi = mean log share of windows within the radius."""
-    pos = number_rows(df.select(key, *as_list(time), dbl(value).alias("x")), time, key, out="pos", total="n")
+    pos = number_rows(df.select(key, *as_list(time), dbl(value).alias("x")), time, key, out="pos")
     wide = framed(pos, "pos", lambda w: {f"x{i}": F.lead("x", i).over(w) for i in range(1, m + 1)}, key, after=m)
-    phis = []
-    for size in (m, m + 1):
-        coords = [F.col("x"), *[F.col(f"x{i}") for i in range(1, size)]]
-        windows = wide.where(coords[-1].isNotNull()).select(key, "pos", "n", F.array(*coords).alias("w"))
-        counts = _match_counts(windows, key, size, radius, block)
-        phis.append(counts.groupBy(F.col(key).alias(f"k{size}")).agg((F.avg(F.ln("c")) - F.ln(F.count(F.lit(1)))).alias(f"phi{size}")))
-    both = phis[0].join(phis[1], F.col(f"k{m}") == F.col(f"k{m + 1}"))
-    return both.select(F.col(f"k{m}").alias(key), r(F.col(f"phi{m}") - F.col(f"phi{m + 1}"), digits).alias("approx_entropy"))
+    last_short, last = F.col(f"x{m - 1}" if m > 1 else "x"), F.coalesce(F.col(f"x{m}"), F.lit(float("nan")))
+    windows = wide.where(last_short.isNotNull()).select(key, F.array("x", *[F.col(f"x{i}") for i in range(1, m)], last).alias("w"))
+    counts = _match_counts(windows, key, m, radius, block)
+    whole = F.col("c_long") > 0  # a complete window matches itself; the last, short one matches none
+    n_short, n_long = F.sum("times"), F.sum(F.when(whole, F.col("times")))
+    phi_short = F.sum(F.col("times") * F.ln("c_short")) / n_short - F.ln(n_short)
+    phi_long = F.sum(F.when(whole, F.col("times") * F.ln("c_long"))) / n_long - F.ln(n_long)
+    return counts.groupBy(key).agg(r(phi_short - phi_long, digits).alias("approx_entropy"))
 
 
 @dataclass(frozen=True)

@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover, Tokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg import Vectors as OldVectors
 from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.cols import as_list, r, same_keys, with_row
@@ -17,6 +17,9 @@ from ..functions.ordered import number_rows
 from .window import top_k_per_group
 
 
+BROADCAST_WORDS = 100_000  # a vocabulary of this size is a few megabytes
+
+
 def words(text: str, pattern: str = r"\s+") -> Column:
     """Lower-cased tokens of the whole text, empty ones left out."""
     return F.filter(F.split(F.lower(text), pattern), lambda w: w != "")
@@ -116,8 +119,7 @@ def top_terms_by_class(weights: DataFrame, classes: DataFrame, key: str, label:
 
 def svd(df: DataFrame, vec: str, k: int, key: str, out: str = "factors") -> tuple[DataFrame, list[float]]:
     """Truncated SVD of a (bounded width) term matrix: factors per row and the k singular values."""
-    rows = df.select(vec).rdd.map(lambda row: OldVectors.fromML(row[0]))
-    result = RowMatrix(rows).computeSVD(k)
+    result = RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(vec), vec)).computeSVD(k)
     v = np.asarray(result.V.toArray())  # features x k, bounded by the hashed width
     arr = vector_to_array(vec)
     cols = [F.aggregate(F.zip_with(arr, F.array(*[F.lit(float(x)) for x in v[:, j]]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
@@ -148,7 +150,9 @@ def vocabulary(df: DataFrame, tokens: str, num_words: int) -> DataFrame:
 
 def texts_to_sequences(df: DataFrame, key: str, num_words: int, tokens: str = "tokens", fit_on: DataFrame | None = None, out: str = "sequence") -> DataFrame:
     """Words to frequency ranks, rarer words dropped. Only one text's own words are gathered at a time."""
-    ranks = F.broadcast(vocabulary(df if fit_on is None else fit_on, tokens, num_words))  # at most num_words rows
+    ranks = vocabulary(df if fit_on is None else fit_on, tokens, num_words)
+    if num_words <= BROADCAST_WORDS:
+        ranks = F.broadcast(ranks)
     hits = df.select(key, F.posexplode(tokens).alias("pos", "term")).join(ranks, "term")
     seqs = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("__s"))
     ordered = F.transform("__s", lambda s: s["rank"])

@@ -15,7 +15,7 @@ class Tables:
     """`t.orders` reads orders.parquet; nothing is read before it is asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        configure(spark)
         self.spark, self.dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -24,6 +24,13 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
 
+def configure(spark: SparkSession) -> None:
+    """Runtime settings the queries rely on: UTC, adaptive plans, and hot join keys split even below an aggregation."""
+    for key, value in {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+                       "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}.items():
+        spark.conf.set(key, value)
+
+
 @dataclass(frozen=True)
 class Entry:
     name: str

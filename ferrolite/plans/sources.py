@@ -54,9 +54,10 @@ def _(t):
     return R.read_images(t.spark, f"{t.dir}/*.parquet", decode=False).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
 
 
-@query("from_rows", "A8", sql="SELECT r_regionkey, r_name FROM region")
+@query("from_rows", "A8", sql="SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
-    return R.from_rows(t.spark, [tuple(row) for row in t.region.limit(100).collect()], "r_regionkey int, r_name string")
+    rows = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per status
+    return R.from_rows(t.spark, [tuple(row) for row in rows], "o_orderstatus string, n long")
 
 
 @query("json_round_trip", "A10", sql=f"WITH t AS ({TRIALS}) SELECT study, number, loss, state FROM t")
