@@ -75,12 +75,16 @@ def cell_count(df: DataFrame) -> int:
     return max(8, min(n, 4096))
 
 
-def with_cells(df: DataFrame, order, n: int | None = None) -> DataFrame:
-    """Add `__cell`, which never decreases along the order and splits the rows evenly."""
+def with_cells(df: DataFrame, order, n: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
+    """Add `__cell`, which never decreases along the order and splits the rows evenly.
+
+    `bounds_from` may name a cheaper frame with the same first sort column (for
+    counts of equal values: the rows before counting) to take the quantile sketch from.
+    """
     order = keys_of(order)
     n = n or cell_count(df)
     img, exact = _image(df, order[0])
-    bounds = _bounds(df, img, n)
+    bounds = _bounds(df if bounds_from is None else bounds_from, img, n)
     hot = {b for a, b in zip(bounds, bounds[1:]) if a == b and exact and abs(b) < EXACT_DOUBLE}
     out = _bucket(df.withColumn("__img", img), "__img", "__b1", bounds)
     first = F.col("__b1") * 2 + 1
@@ -134,10 +138,11 @@ def number_rows(df: DataFrame, order, group=(), out: str = "pos", total: str | N
 
 
 def running(df: DataFrame, order, group=(), sums: dict[str, Column] | None = None,
-            minima: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None) -> DataFrame:
+            minima: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None,
+            bounds_from: DataFrame | None = None) -> DataFrame:
     """Running sum / min / max up to and including each row, per group, along a total order."""
     group, order = as_list(group), keys_of(order)
-    parts = with_cells(df, order)
+    parts = with_cells(df, order, bounds_from=bounds_from)
     spec = [(k, c, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + b) for k, c in (sums or {}).items()]
     spec += [(k, c, F.min, F.least) for k, c in (minima or {}).items()]
     spec += [(k, c, F.max, F.greatest) for k, c in (maxima or {}).items()]

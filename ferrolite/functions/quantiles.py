@@ -18,7 +18,7 @@ def quantiles_long(long: DataFrame, probs: dict[str, float], group, distinct: st
     """Quantiles of `value` per group: equal values are counted first, then running counts locate the ranks."""
     group = as_list(group)
     counts = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("__cnt"))
-    cum = running(counts, "value", group, sums={"__cum": F.col("__cnt")})
+    cum = running(counts, "value", group, sums={"__cum": F.col("__cnt")}, bounds_from=long)
     totals = long.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     if group:
         cum = same_keys(cum, totals, group)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler, VectorIndexer
@@ -63,11 +65,15 @@ def hash_features(df: DataFrame, cols, n: int, out: str = "features") -> DataFra
 
 def hash_features_portable(df: DataFrame, numeric, categorical, n: int, out: str = "hashed") -> DataFrame:
     """md5 feature hashing into n slots (dense array): numbers add their value, categories add 1."""
-    terms = [F.struct((portable_hash("n", F.lit(c)) % n).cast("int").alias("i"), dbl(c).alias("v")) for c in as_list(numeric)]
-    terms += [F.struct((portable_hash("c", F.lit(c), c) % n).cast("int").alias("i"), F.lit(1.0).alias("v")) for c in as_list(categorical)]
-    slots = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda s: F.aggregate(
-        F.filter("__terms", lambda t: t["i"] == s), F.lit(0.0), lambda a, t: a + t["v"]))
-    return df.withColumn("__terms", F.array(*terms)).withColumn(out, slots).drop("__terms")
+    numeric, categorical = as_list(numeric), as_list(categorical)
+    fixed = {c: int(hashlib.md5(f"n|{c}".encode()).hexdigest()[:8], 16) % n for c in numeric}
+    df = df.withColumns({f"__slot_{c}": (portable_hash("c", F.lit(c), c) % n).cast("int") for c in categorical})
+
+    def slot(s: int) -> Column:
+        value = sum((dbl(c) for c in numeric if fixed[c] == s), F.lit(0.0))
+        return sum((F.when(F.col(f"__slot_{c}") == s, 1.0).otherwise(0.0) for c in categorical), value)
+
+    return df.withColumn(out, F.array(*[slot(s) for s in range(n)])).drop(*[f"__slot_{c}" for c in categorical])
 
 
 def leaf_encode(df: DataFrame, features: str, label: str | None, key: str, trees: int = 5, depth: int = 3, seed: int = 7, out: str = "leaf") -> DataFrame:

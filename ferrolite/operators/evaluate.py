@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.cols import as_list, dbl, div, r, same_keys, union_all, with_row
 from ..functions.ordered import running
-from ..functions.quantiles import quantile_row
+from ..functions.quantiles import quantiles
 
 CLIP = 1e-15
 
@@ -27,8 +27,9 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") ->
 def score_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Per distinct score: positives, negatives, and their totals at or above it."""
     pos = F.sum(F.when(F.col(label) == 1, 1).otherwise(0))
-    counts = df.groupBy(F.col(score).alias("threshold")).agg(pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg"))
-    curve = running(counts, "-threshold", sums={"tp": F.col("pos"), "fp": F.col("neg")})
+    rows = df.select(F.col(score).alias("threshold"), label)
+    counts = rows.groupBy("threshold").agg(pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg"))
+    curve = running(counts, "-threshold", sums={"tp": F.col("pos"), "fp": F.col("neg")}, bounds_from=rows)
     totals = df.agg(pos.alias("p"), (F.count(F.lit(1)) - pos).alias("n"))
     return with_row(curve, totals)
 
@@ -124,10 +125,9 @@ def advanced_regression_stats(df: DataFrame, label: str = "label", pred: str = "
                   r(1 - F.avg(d * d) / F.var_pop(y), digits).alias("r2"),
                   F.count(F.when(d > 0, 1)).alias("n_positive"), F.count(F.when(d < 0, 1)).alias("n_negative"),
                   r(F.avg(F.when(d > 0, d)), digits).alias("mean_positive"), r(F.avg(F.when(d < 0, d)), digits).alias("mean_negative"))
-    for name, value in (("median_prediction", h), ("median_actual", y), ("median_absolute_error", F.abs(d))):
-        q = quantile_row(df, value, {name: 0.5})
-        base = with_row(base, q.select(r(F.col(name), digits).alias(name)))
-    return base
+    middles = df.select(h.alias("median_prediction"), y.alias("median_actual"), F.abs(d).alias("median_absolute_error"))
+    q = quantiles(middles, middles.columns, {"m": 0.5})
+    return with_row(base, q.agg(*[r(F.max(F.when(F.col("column") == c, F.col("m"))), digits).alias(c) for c in middles.columns]))
 
 
 def per_row_stats(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:

@@ -148,8 +148,9 @@ def chi_square_test(df: DataFrame, features, label: str) -> DataFrame:
 def average_ranks(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
     """(value, rank): 1-based rank with ties averaged, from counts of equal values."""
     w = F.col(weight) if weight else F.lit(1)
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__value")).agg(F.sum(w).alias("__n"))
-    cum = running(counts, "__value", sums={"__cum": F.col("__n")})
+    rows = df.where(F.col(col).isNotNull()).withColumn("__value", F.col(col))
+    counts = rows.groupBy("__value").agg(F.sum(w).alias("__n"))
+    cum = running(counts, "__value", sums={"__cum": F.col("__n")}, bounds_from=rows)
     return cum.select("__value", (F.col("__cum") - (F.col("__n") - 1) / F.lit(2.0)).alias(out))
 
 

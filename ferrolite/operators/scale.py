@@ -74,8 +74,9 @@ def normalize_rows(df: DataFrame, vec: str, p: float = 2.0, out: str | None = No
 
 def quantile_transform(df: DataFrame, col: str, out: str = "uniform") -> DataFrame:
     """Empirical CDF of each value (share of rows at or below it), exact with ties."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
-    cdf = with_row(running(counts, "__value", sums={"__cum": F.col("__n")}), df.agg(F.count(col).alias("__all")))
+    rows = df.where(F.col(col).isNotNull()).select(F.col(col).alias("__value"))
+    counts = rows.groupBy("__value").agg(F.count(F.lit(1)).alias("__n"))
+    cdf = with_row(running(counts, "__value", sums={"__cum": F.col("__n")}, bounds_from=rows), df.agg(F.count(col).alias("__all")))
     cdf = cdf.select("__value", (F.col("__cum") / F.col("__all")).alias(out))
     return df.join(cdf, F.col(col) == F.col("__value"), "left").drop("__value")
 

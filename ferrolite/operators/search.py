@@ -6,12 +6,12 @@ import hashlib
 import json
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.cols import as_list, dbl, div, r, same_keys, union_all, with_row
@@ -288,17 +288,42 @@ def _suggest(spark, path, study, spec, algo, number, n_candidates, n_startup, se
     return K.params_of(pool.where(F.col("draw") == index).first().asDict(), spec)
 
 
-def cross_validate_grid(df: DataFrame, est: Estimator, grid: list[dict], evaluator: Evaluator, fold_col: str | None = None, k: int = 3, parallelism: int = 2) -> CrossValidatorModel:
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, numFolds=k, parallelism=parallelism, seed=7)
-    if fold_col:
-        cv = cv.setFoldCol(fold_col)
-    return cv.fit(df)
+@dataclass(frozen=True)
+class CvResult:
+    """Settings, their mean metric over the folds, and the best setting refitted on all rows."""
 
+    settings: list[dict]
+    metrics: list[float]
+    larger_is_better: bool
+    best_model: object
 
-def cv_results(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
+
+def cross_validate_grid(df: DataFrame, est: Estimator, grid: list[dict], evaluator: Evaluator, fold_col: str, k: int, parallelism: int = 4) -> CvResult:
+    """Every setting on every fold, then a refit of the best. The folded rows are kept in memory or on disk once
+    and all (setting, fold) fits run on them side by side."""
+    rows = df.persist()
+    try:
+        rows.count()
+
+        def run(job: tuple[int, int]) -> float:
+            i, fold = job
+            model = est.copy(grid[i]).fit(rows.where(F.col(fold_col) != fold))
+            return float(evaluator.evaluate(model.transform(rows.where(F.col(fold_col) == fold))))
+
+        jobs = [(i, fold) for i in range(len(grid)) for fold in range(k)]
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(run, jobs))
+        metrics = [sum(s for (i, _), s in zip(jobs, scores) if i == g) / k for g in range(len(grid))]
+        best = min(range(len(grid)), key=lambda i: (loss_of(evaluator, metrics[i]), i))
+        return CvResult(grid, metrics, evaluator.isLargerBetter(), est.copy(grid[best]).fit(rows))
+    finally:
+        rows.unpersist()
+
+
+def cv_results(spark: SparkSession, result: CvResult) -> DataFrame:
     """Settings with their mean metric, best first."""
-    rows = [({p.name: str(v) for p, v in m.items()}, float(a)) for m, a in zip(model.getEstimatorParamMaps(), model.avgMetrics)]
-    best = F.desc("metric") if model.getEvaluator().isLargerBetter() else F.asc("metric")
+    rows = [({p.name: str(v) for p, v in m.items()}, float(a)) for m, a in zip(result.settings, result.metrics)]
+    best = F.desc("metric") if result.larger_is_better else F.asc("metric")
     return spark.createDataFrame(rows, "params map<string,string>, metric double").orderBy(best)
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler
 from pyspark.sql import functions as F
 
 from ..functions.cols import r, vec_to_array
+from ..functions.layout import spread
 from ..operators import explain as L, models as I
 from .models import lines
 from .registry import query
@@ -99,7 +100,7 @@ def _(t):
 
 @query("lime_text", "L9")
 def _(t):
-    df = t.documents.select("doc_id", "text", F.col("lang").eqNullSafe("en").cast("double").alias("label"))
+    df = spread(t.documents).select("doc_id", "text", F.col("lang").eqNullSafe("en").cast("double").alias("label"))
     model = Pipeline(stages=[Tokenizer(inputCol="text", outputCol="tok"), HashingTF(inputCol="tok", outputCol="features", numFeatures=256), I.estimator("logistic", maxIter=5, regParam=0.1)]).fit(df)
     return L.lime_text(df, model, "doc_id", n=6).withColumn("weight", r(F.col("weight")))
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.cols import r
+from ..functions.layout import spread
 from ..operators import joins as D, neighbors as K, split as H
 from ..operators.text import mean_word_length, word_count
 from .registry import query
@@ -99,9 +100,9 @@ POSTINGS = r"SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(lis
 
 @query("search_index", "A14", sql=POSTINGS)
 def _(t):
-    return D.search_index(t.documents, "doc_id", "text")
+    return D.search_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
 
 
 @query("search", "A14", sql=f"SELECT doc_id, count(*) AS terms, sum(tf)::BIGINT AS hits FROM ({POSTINGS}) WHERE term IN ('the', 'and', 'der') GROUP BY 1")
 def _(t):
-    return D.search(D.search_index(t.documents, "doc_id", "text"), "doc_id", ["the", "and", "der"])
+    return D.search(D.search_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text"), "doc_id", ["the", "and", "der"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import r
 from ..functions.hashing import unit_draw
+from ..functions.layout import spread
 from ..operators import evaluate as J, models as I, split as H
 from ..operators.scale import clean_missing
 from .registry import query
@@ -16,13 +17,13 @@ from .registry import query
 def orders_frame(t):
     """Order rows with customer attributes and a 0/1 label: is the order large for its year?"""
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
-    return t.orders.join(c, "o_custkey").select("o_orderkey", (F.col("o_totalprice") > 250000).cast("double").alias("label"), "c_acctbal", "c_mktsegment",
+    return spread(t.orders).join(c, "o_custkey").select("o_orderkey", (F.col("o_totalprice") > 250000).cast("double").alias("label"), "c_acctbal", "c_mktsegment",
                                                 "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
 
 
 def lines(t, label="l_extendedprice"):
     """Line items with an assembled vector; the label is the price (regression) or a high-price flag."""
-    df = t.lineitem.select(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate").alias("row_id"), "l_quantity", "l_discount", "l_tax",
+    df = spread(t.lineitem).select(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate").alias("row_id"), "l_quantity", "l_discount", "l_tax",
                            F.month("l_shipdate").alias("month"), dbl_label(label).alias("label"))
     return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax", "month"], outputCol="features").transform(df)
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import r, vec_to_array
 from ..functions.hashing import unit_draw
+from ..functions.layout import spread
 from ..operators import text as X
 from .registry import query
 
@@ -14,7 +15,7 @@ STOP = ["the", "and", "of", "in", "to", "le", "la", "de", "und", "der", "die", "
 
 
 def docs(t, *more):
-    return X.tokenize(t.documents.select("doc_id", "text", *more)).drop("text")
+    return X.tokenize(spread(t.documents.select("doc_id", "text", *more))).drop("text")
 
 
 @query("word_count", "G1", sql=f"SELECT doc_id, len(tokens)::INT AS word_count, round(CASE WHEN len(tokens) = 0 THEN 0 ELSE list_sum(list_transform(tokens, lambda w: length(w))) / len(tokens) END, 2)::DOUBLE AS mean_word_length FROM ({TOK})")
