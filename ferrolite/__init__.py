@@ -1 +1,8 @@
 """ferrolite: Spark-first building blocks for machine learning on tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
