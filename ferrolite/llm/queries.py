@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import exact, toxicity
+from . import bpe, exact, toxicity
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -32,6 +32,17 @@ def op2(t: Tables) -> DataFrame:
     return exact.mark_copies(t.documents)
 
 
+@query("op3_byte_bpe")
+def op3(t: Tables) -> DataFrame:
+    import public_tokenizers as vocabularies
+
+    ranks = vocabularies.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(t.documents.select("doc_id", "text"), ranks, vocabularies.PATTERN).drop("text")
+    coded = coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"))
+    back = bpe.decode(coded, ranks)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op10_toxicity")
 def op10(t: Tables) -> DataFrame:
     held = crc_mod("doc_id", 5) == 0
