@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, toxicity
+from . import bpe, exact, pfair, toxicity
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -43,6 +43,16 @@ def op3(t: Tables) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+#: Target weights of the mix: the large source is held back, a few are preferred, the others count 2 each.
+WEIGHTS = {"src0": 4, "src1": 6, "src2": 6, "src3": 3, "src4": 3} | {f"src{i}": 2 for i in range(5, 20)}
+
+
+@query("op7_mix_sources")
+def op7(t: Tables) -> DataFrame:
+    placed = pfair.schedule(t.documents.select("doc_id", "source"), WEIGHTS)
+    return placed.select(F.col("id").alias("doc_id"), "source", "block", "phase", "slot", "release", "deadline", "position")
+
+
 @query("op10_toxicity")
 def op10(t: Tables) -> DataFrame:
     held = crc_mod("doc_id", 5) == 0

@@ -45,10 +45,11 @@ def score_text(text: str | None, weights: np.ndarray, slope: float, offset: floa
     return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def labelled_sample(df: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, allowed: Column, per_class: int) -> DataFrame:
-    """(id, text, y) of at most per_class labelled rows of each class; `allowed` is over `id`. The ids are bounded, so they are broadcast."""
+def labelled_sample(df: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, allowed: Column | None, per_class: int) -> DataFrame:
+    """(id, text, y) of at most per_class labelled rows of each class; `allowed` is a condition on `id`. The ids are bounded, so they are broadcast."""
     marks = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
-             .agg(F.max((F.col(label) > 0).cast("int")).alias("y")).where(allowed))
+             .agg(F.max((F.col(label) > 0).cast("int")).alias("y")))
+    marks = marks if allowed is None else marks.where(allowed)
     some = [marks.where(F.col("y") == y).orderBy(order_hash(F.col("id")), "id").limit(per_class) for y in (0, 1)]
     picked = F.broadcast(some[0].unionByName(some[1]))
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
@@ -114,7 +115,7 @@ def learn(rows: list[tuple[np.ndarray, int]]) -> Model:
 
 
 def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-        allowed: Column = F.lit(True), per_class: int = PER_CLASS) -> Model:
+        allowed: Column | None = None, per_class: int = PER_CLASS) -> Model:
     sample = labelled_sample(df, labels, label, id_col, text_col, allowed, per_class)
     found = sample.mapInArrow(_features, "id long, y int, idx binary").collect()
     found.sort(key=lambda r: (hash((r["id"] * 2654435761) % (1 << 32)), r["id"], r["y"], r["idx"]))
