@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, toxicity
+from . import bpe, exact, pfair, setsketch, toxicity
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -43,6 +43,11 @@ def op3(t: Tables) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_setsketch_near_dedup")
+def op6(t: Tables) -> DataFrame:
+    return setsketch.mark_near(t.documents)
+
+
 #: Target weights of the mix: the large source is held back, a few are preferred, the others count 2 each.
 WEIGHTS = {"src0": 4, "src1": 6, "src2": 6, "src3": 3, "src4": 3} | {f"src{i}": 2 for i in range(5, 20)}
 
