@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 Features are the hashed 3- to 5-grams that a text holds (once each). Their weight is the log ratio of the naive
-Bayes shares in toxic and other texts times a coefficient learnt by logistic loss. Margins are calibrated on a
-part of the sample that the coefficients have not seen.
+Bayes shares in toxic and other texts times a coefficient learnt by logistic loss. N-grams whose ratio
+is within chance weigh nothing. Margins of rows left out of the fit, fold by fold, are calibrated to probabilities
+for a stream in which `TOXIC_SHARE` of the texts are toxic.
 
 The fit uses at most `per_class` labelled rows of each class, those with the smallest hash of the id: a documented
 bound, which is also the bound of what the driver gathers. Scoring is a map over all rows and whole texts.
@@ -20,11 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import order_hash
+from .common import order_hash, unpack, whole_row
 from .ngrams import BITS, buckets
 
 PER_CLASS = 1500
 ALPHA = 1.0
+SURE = 3.0
+FOLDS = 3
+TOXIC_SHARE = 0.2
 EPOCHS = 8
 RATE = 0.1
 DECAY = 1e-4
@@ -76,42 +80,46 @@ def _platt(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     return a / scale, b
 
 
-def learn(rows: list[tuple[np.ndarray, int]]) -> Model:
-    """rows: distinct buckets and label, in a fixed order."""
-    size = 1 << BITS
-    y = np.array([v for _, v in rows], float)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(size, np.float32), 1.0, 35.0 if share == 1 else -35.0)
-    test = np.arange(len(rows)) % 5 == 4
-    if len(set(y[test])) < 2 or len(set(y[~test])) < 2:
-        test[:] = False
-    fit = [i for i in range(len(rows)) if not test[i]]
+def _weights(rows: list[tuple[np.ndarray, int]], fit: list[int]) -> np.ndarray:
+    """Ratio times coefficient of each bucket, from the rows numbered in `fit`."""
+    size, classes = 1 << BITS, [rows[i][1] for i in fit]
     counts = np.full((2, size), ALPHA)
     for i in fit:
-        counts[int(y[i])][rows[i][0]] += 1
+        counts[rows[i][1]][rows[i][0]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    ratio[(counts[0] + counts[1]) <= 2 * ALPHA] = 0
-    scaled = [ratio[x].astype(np.float32) for x, _ in rows]
-    unit = [1 / max(1.0, float(np.sqrt(len(x)))) for x, _ in rows]
+    ratio[np.abs(ratio) < SURE * np.sqrt(1 / counts[0] + 1 / counts[1])] = 0  # shares that chance explains count as equal
+    used = [rows[i][0][ratio[rows[i][0]] != 0] for i in fit]
+    scaled = [(ratio[x] / max(1.0, np.sqrt(len(x)))).astype(np.float32) for x in used]
     v, seen, bias, bias_seen = np.zeros(size, np.float32), np.full(size, 1e-6, np.float32), 0.0, 1e-6
-    even = {c: 0.5 / max(1, sum(y[i] == c for i in fit)) * len(fit) for c in (0.0, 1.0)}
+    even = [len(fit) / 2 / max(1, classes.count(c)) for c in (0, 1)]
     for _ in range(EPOCHS):
-        for i in fit:
-            idx, x = rows[i][0], scaled[i] * np.float32(unit[i])
+        for idx, x, y in zip(used, scaled, classes):
             p = 1 / (1 + np.exp(-np.clip(float(v[idx] @ x) + bias, -35, 35)))
-            d = even[y[i]] * (p - y[i])
+            d = even[y] * (p - y)
             g = np.float32(d) * x + np.float32(DECAY) * v[idx]
             seen[idx] += g * g
             v[idx] -= np.float32(RATE) * g / np.sqrt(seen[idx])
             bias_seen += d * d
             bias -= RATE * d / np.sqrt(bias_seen)
-    weights = (v * ratio).astype(np.float32)
-    held = [i for i in range(len(rows)) if test[i]] or fit
-    z = np.array([weights[rows[i][0]].sum(dtype=np.float64) for i in held])
-    yy = y[held]
-    w = np.where(yy == 1, 0.5 / max(1, yy.sum()), 0.5 / max(1, (1 - yy).sum())) * len(yy)
-    return Model(weights, *_platt(z, yy, w))
+    return (v * ratio).astype(np.float32)
+
+
+def learn(rows: list[tuple[np.ndarray, int]]) -> Model:
+    """rows: distinct buckets and label, in a fixed order. Margins for the calibration come from models that did not see the row."""
+    y = np.array([v for _, v in rows])
+    if not len(y) or y.min() == y.max():
+        share = float(y.mean()) if len(y) else 0.0
+        return Model(np.zeros(1 << BITS, np.float32), 1.0, 35.0 if share == 1 else -35.0)
+    z, everyone = np.zeros(len(y)), range(len(y))
+    turn = np.zeros(len(y), int)
+    for c in (0, 1):  # each fold has its part of either class
+        turn[y == c] = np.arange(int((y == c).sum())) % FOLDS
+    for fold in range(FOLDS):
+        weights = _weights(rows, [i for i in everyone if turn[i] != fold])
+        for i in np.flatnonzero(turn == fold):
+            z[i] = weights[rows[i][0]].sum(dtype=np.float64)
+    share = np.where(y == 1, TOXIC_SHARE / max(1, int((y == 1).sum())), (1 - TOXIC_SHARE) / max(1, int((y == 0).sum())))
+    return Model(_weights(rows, list(everyone)), *_platt(z, y, share * len(y)))
 
 
 def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -127,3 +135,9 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.slope, model.offset))
     kind = F.pandas_udf(lambda s: s.map(lambda x: score_text(x, *shared.value)).astype("float64"), "double")
     return df.withColumn(out, kind(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+
+def keep_clean(df: DataFrame, model: Model, text_col: str = "text", cut: float = 0.5) -> DataFrame:
+    """The rows that score below the cut, with all their columns."""
+    rows = df.select(F.col(text_col).alias("text"), whole_row().alias("row"))
+    return unpack(score(rows, model).where(F.col("score") < cut))
