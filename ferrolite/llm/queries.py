@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, setsketch, toxicity
+from . import bpe, exact, pfair, setsketch, toxicity, warc
+from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -43,6 +44,23 @@ def op3(t: Tables) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op4_warc", """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    q AS (SELECT page_id, octet_length(payload) AS payload_bytes, unhex(sha1(payload)) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+    d AS (SELECT page_id, payload_bytes, first, CAST(h AS BIT)::VARCHAR AS bits FROM q)
+    SELECT page_id, payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_aggregate(list_transform(range(5), lambda j: CAST(substr(bits, CAST(1 + 5 * i + j AS BIGINT), 1) AS INTEGER) * CAST(2 ** (4 - j) AS INTEGER)), 'sum')::INTEGER, 1)),
+               'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+    FROM d""")
+def op4(t: Tables) -> DataFrame:
+    scratch = Scratch(t.spark, "warc")
+    manifest = warc.write(t.pages, f"{scratch.base}/archive", scratch)
+    return warc.read(t.spark, manifest, payload=False).drop("url")
+
+
 @query("op6_setsketch_near_dedup")
 def op6(t: Tables) -> DataFrame:
     return setsketch.mark_near(t.documents)
