@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, setsketch, toxicity, warc
+from . import bpe, exact, pfair, repeats, setsketch, toxicity, warc
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -76,6 +76,11 @@ def op7(t: Tables) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "source", "block", "phase", "slot", "release", "deadline", "position")
 
 
+@query("op9_substring_dedup")
+def op9(t: Tables) -> DataFrame:
+    return repeats.cut_repeats(t.documents, text=False).drop("repeats")
+
+
 @query("op10_toxicity")
 def op10(t: Tables) -> DataFrame:
     held = crc_mod("doc_id", 5) == 0
