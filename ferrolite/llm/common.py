@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.store import work_dir
 
@@ -48,10 +48,6 @@ def order_hash(*cols, seed: int = 7) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
 
-def merged(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
-    """An equi-join by sorting on both sides: hot keys are split by adaptive execution, nothing is broadcast by guess."""
-    return left.hint("merge").join(right, on, how)
-
-
-def long_of(c: Column) -> Column:
-    return c.cast(T.LongType())
+def merged(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
+    """An equi-join without hints: Spark broadcasts a side only if its measured size is below the session's threshold; else hot keys are split."""
+    return left.join(right, on, how)

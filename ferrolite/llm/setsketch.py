@@ -6,10 +6,10 @@ registers make bucket keys. Pairs that share a bucket are judged by the likeliho
 how many registers are equal, greater and smaller and both set sizes; those that may reach the threshold are verified
 on their full sets, by whole-number arithmetic.
 
-Documents with equal sets are one class from the start. In a bucket every member is first compared with one hub, in
-a few rounds with differing hubs; then all pairs that are still in different components are compared, so no link that
-could join two components is left out. Only pairs from a common bucket are ever made, never a whole group against itself
-unless its members stay apart. With 32 bands of 4 registers a pair at 0.8 shares no bucket with a chance below 10^-7.
+Documents with equal sets are one class from the start. In a bucket every member is first compared with its hub, the
+member nearest to most others. Then members still in different components are compared, unless the hashes that only
+one of them has rule the pair out, so no link that could join two components is left out and a large group of copies
+makes about a pair a member. With 32 bands of 4 registers a pair at 0.8 shares no bucket with a chance below 10^-7.
 
 Words are runs of bytes other than the space and U+0009 to U+000D, A-Z in lower case. With fewer words than a shingle
 has, the whole sequence is the one shingle. Null, empty and blank texts have an empty set and are linked with nothing.
@@ -31,8 +31,7 @@ from .words import shingles, word_hashes
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 BASE = 1.01
-ROUNDS = 4
-FEW = 64  # mean members of an open bucket up to which all its pairs are made at once; the result is the same
+SLACK = 0.13  # four standard errors of a similarity of 0.8 judged by this many registers
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -142,6 +141,15 @@ def _verify(threshold: int):
     return rows
 
 
+def _flat(batches):
+    """(id, set) to a row for each hash."""
+    for b in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("hashes")]
+        for i in range(0, len(sets), 64):
+            part = sets[i : i + 64]
+            yield pa.record_batch({"id": np.repeat(b.column("id").to_numpy()[i : i + 64], [len(x) for x in part]), "hash": np.concatenate(part)})
+
+
 class _Run:
     """Tables of one run. A node is the least id of the documents with one set."""
 
@@ -149,80 +157,87 @@ class _Run:
         self.docs, self.k, self.threshold = docs, k, threshold
         self.scratch = Scratch(docs.sparkSession, "setsketch")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Verified (a, b) of the candidate pairs (a < b)."""
+    def sets(self, need: DataFrame) -> DataFrame:
+        """Full sets of some documents, made again from their texts; a bounded filter keeps the others' texts out of the shuffle."""
         s = self.scratch
-        x, y = (self.reps.select(F.col("node").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("regs").alias(f"regs{i}")) for i in (1, 2))
-        judged = merged(merged(pairs, x, F.col("a") == F.col("id1"), "inner").drop("id1"), y, F.col("b") == F.col("id2"), "inner")
-        likely = s.save(judged.select("a", "b", "n1", "n2", "regs1", "regs2").mapInArrow(_judge(self.threshold, 0.2), "a long, b long"))
-        # Full sets are made again for the documents that need them; a bounded filter keeps the others' texts out of the shuffle.
-        need = s.save(likely.select(F.explode(F.array("a", "b")).alias("need")).distinct())
+        need = s.save(need)
         blocks = blocks_for(need.count())
         bits = s.save(present(need, F.col("need"), blocks))
         asked = ask(self.docs, F.col("id"), bits, blocks, "perhaps").where("perhaps").drop("perhaps")
         texts = merged(asked, need, F.col("id") == F.col("need"), "left_semi")
-        sets = s.save(texts.mapInArrow(_sets(self.k, True), "id long, n long, hashes binary").where("n > 0").dropDuplicates(["id"]))
+        out = s.save(texts.mapInArrow(_sets(self.k, True), "id long, n long, hashes binary").where("n > 0"))
+        s.drop(need, bits)
+        return out
+
+    def judged(self, pairs: DataFrame) -> DataFrame:
+        """The candidate pairs (a < b) that may be links as far as their sketches tell."""
+        x, y = (self.reps.select(F.col("node").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("regs").alias(f"regs{i}")) for i in (1, 2))
+        both = merged(merged(pairs, x, F.col("a") == F.col("id1"), "inner").drop("id1"), y, F.col("b") == F.col("id2"), "inner")
+        return self.scratch.save(both.select("a", "b", "n1", "n2", "regs1", "regs2").mapInArrow(_judge(self.threshold, SLACK), "a long, b long"))
+
+    def verified(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links among the pairs, by their full sets."""
         first = merged(likely, sets.select(F.col("id").alias("ia"), F.col("hashes").alias("s")), F.col("a") == F.col("ia"), "inner").drop("ia")
         full = merged(first, sets.select(F.col("id").alias("ib"), F.col("hashes").alias("t")), F.col("b") == F.col("ib"), "inner")
-        out = s.save(full.select("a", "b", "s", "t").mapInArrow(_verify(self.threshold), "a long, b long"))
-        s.drop(likely, need, bits, sets)
+        return self.scratch.save(full.select("a", "b", "s", "t").mapInArrow(_verify(self.threshold), "a long, b long"))
+
+    def candidates(self, good: DataFrame) -> DataFrame:
+        """(member, key) of the buckets with two members and more; sets self.reps."""
+        s = self.scratch
+        reps = good.groupBy("digest").agg(F.min("id").alias("node"), F.min_by(F.struct("n", "regs", "keys"), "id").alias("x"))
+        self.reps = s.save(reps.select("digest", "node", "x.*"))
+        keys = self.reps.select(F.col("node").alias("member"), F.explode("keys").alias("key"))
+        shared = s.save(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumnRenamed("key", "k2"))
+        out = s.save(merged(keys, shared, F.col("key") == F.col("k2"), "inner").select("member", "key", "size"))
+        s.drop(shared)
         return out
 
-    def label(self, links: DataFrame) -> DataFrame:
-        """(member, comp, key) of the members of buckets with two members and more."""
-        c = components(links, self.scratch)
-        out = merged(self.buckets.select("member", "key"), c, F.col("member") == F.col("node"), "left")
-        return out.select("member", "key", F.coalesce("component", "member").alias("comp"))
+    def to_hubs(self, buckets: DataFrame) -> DataFrame:
+        """Pairs of each member with its bucket's hub: the member that shares most buckets with most documents."""
+        weight = buckets.groupBy("member").agg(F.sum("size").alias("w")).withColumnRenamed("member", "m")
+        hubs = merged(buckets, weight, F.col("member") == F.col("m"), "inner").groupBy("key").agg(
+            F.max_by("member", F.struct("w", -F.col("member"))).alias("hub")).withColumnRenamed("key", "k2")
+        tied = merged(buckets, self.scratch.save(hubs), F.col("key") == F.col("k2"), "inner").where("member <> hub")
+        return tied.select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
+
+    def rest(self, buckets: DataFrame, comp: DataFrame) -> DataFrame | None:
+        """Links between components that meet in a bucket of three members and more; None if no bucket has such."""
+        s = self.scratch
+        label = merged(buckets.where("size > 2"), comp, F.col("member") == F.col("node"), "left").select("member", "key", F.coalesce("component", "member").alias("comp"))
+        label = s.save(label)
+        mixed = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(F.col("key").alias("k2"))
+        mixed = s.save(merged(label, mixed, F.col("key") == F.col("k2"), "left_semi"))
+        if mixed.isEmpty():
+            return None
+        sets = self.sets(mixed.select(F.col("member").alias("need")).distinct())
+        # Hashes that one document alone has cannot be shared: they bound what any pair can reach.
+        alone = sets.select("id", "hashes").mapInArrow(_flat, "id long, hash long").groupBy("hash").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c")).where("c = 1")
+        alone = alone.groupBy(F.col("id").alias("u_id")).agg(F.count(F.lit(1)).alias("u"))
+        sized = merged(sets.groupBy("id").agg(F.min("n").alias("n"), F.max("n").alias("top")), alone, F.col("id") == F.col("u_id"), "left")
+        sized = s.save(sized.select("id", "n", (F.col("top") - F.coalesce("u", F.lit(0))).alias("most")))
+        mine = s.save(merged(mixed, sized, F.col("member") == F.col("id"), "inner").select("member", "key", "comp", "n", "most"))
+        other = mine.select(*[F.col(c).alias(f"{c}2") for c in mine.columns])
+        can = (100 + self.threshold) * F.least("most", "most2") >= self.threshold * (F.col("n") + F.col("n2"))
+        pairs = merged(mine, other, (F.col("key") == F.col("key2")) & (F.col("member") < F.col("member2")) & (F.col("comp") != F.col("comp2")) & can, "inner")
+        return self.verified(self.judged(pairs.select(F.col("member").alias("a"), F.col("member2").alias("b")).distinct()), sets)
 
     def solve(self) -> DataFrame:
         """(id, n, component)."""
         s = self.scratch
         made = s.save(self.docs.mapInArrow(_sets(self.k, False), "id long, n long, digest binary, regs binary, keys array<long>"))
-        least = made.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"))
-        self.classes = s.save(least.withColumnRenamed("digest", "d2"))
-        known = made.where("n > 0 AND id IS NOT NULL").select("id", "n", "digest", "regs", "keys")
-        own = merged(known, self.classes, (F.col("digest") == F.col("d2")) & (F.col("id") == F.col("node")), "inner")
-        self.reps = s.save(own.select("node", "n", "regs", "keys").dropDuplicates(["node"]))
-        keys = s.save(self.reps.select(F.col("node").alias("member"), F.explode("keys").alias("key")))
-        shared = s.save(keys.groupBy("key").agg(F.min("member").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").withColumnRenamed("key", "k2"))
-        self.buckets = s.save(merged(keys, shared, F.col("key") == F.col("k2"), "inner").select("member", "key", "hub", "size"))
-        s.drop(keys, shared)
-        pairs = self.buckets.where("member <> hub").select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
-        tried = s.save(pairs)
-        links = self.links(tried)
-        turn, done = 0, False
-        while not done:
-            label = s.save(self.label(links))
-            open_ = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"),
-                                             F.min_by("member", F.struct(F.xxhash64("member", F.lit(turn)), "member")).alias("hub"))
-            open_ = s.save(open_.where("lo < hi AND size > 2").select(F.col("key").alias("k2"), "hub", "size"))
-            size, square = open_.agg(F.sum("size"), F.sum(F.col("size") * F.col("size"))).first()
-            if size is None:
-                break
-            mine = merged(label, open_, F.col("key") == F.col("k2"), "inner").select("member", "comp", "key", "hub")
-            done = turn == ROUNDS or square <= FEW * size
-            if not done:  # large buckets: another hub for each first, as it joins most of what belongs together
-                hubs = label.select(F.col("member").alias("h"), F.col("comp").alias("hcomp")).distinct()
-                more = merged(mine.select("member", "comp", "hub").distinct(), hubs, F.col("hub") == F.col("h"), "inner").where("comp <> hcomp")
-                more = more.select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
-            else:
-                mine = s.save(mine)
-                other = mine.select(F.col("member").alias("m2"), F.col("comp").alias("c2"), F.col("key").alias("k3"))
-                more = merged(mine, other, (F.col("key") == F.col("k3")) & (F.col("member") < F.col("m2")) & (F.col("comp") != F.col("c2")), "inner")
-                more = more.select(F.col("member").alias("a"), F.col("m2").alias("b")).distinct()
-            past = tried.select(F.col("a").alias("pa"), F.col("b").alias("pb"))
-            more = s.save(merged(more, past, (F.col("a") == F.col("pa")) & (F.col("b") == F.col("pb")), "left_anti"))
-            s.drop(label, open_)
-            turn += 1
-            if more.isEmpty():
-                turn = ROUNDS
-                continue
-            links = s.save(links.unionByName(self.links(more)))
-            tried = s.save(tried.unionByName(more))
-        same = merged(known.select("id", "digest"), self.classes, F.col("digest") == F.col("d2"), "inner").where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-        whole = s.save(components(links.select("a", "b").unionByName(same), s))
-        out = merged(made.select("id", "n"), whole, F.col("id") == F.col("node"), "left")
-        return out.select("id", "n", F.coalesce("component", "id").alias("component"))
+        buckets = self.candidates(made.where("n > 0 AND id IS NOT NULL"))
+        likely = self.judged(self.to_hubs(buckets))
+        links = self.verified(likely, self.sets(likely.select(F.explode(F.array("a", "b")).alias("need")).distinct()))
+        comp = s.save(components(links, s))
+        more = self.rest(buckets, comp)
+        if more is not None and not more.isEmpty():
+            comp = s.save(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), s))
+        nodes = self.reps.select(F.col("digest").alias("d2"), "node")
+        nodes = s.save(merged(nodes, comp.select(F.col("node").alias("c"), "component"), F.col("node") == F.col("c"), "left")
+                       .select("d2", F.coalesce("component", "node").alias("component")))
+        out = merged(made.select("id", "n", "digest"), nodes, F.col("digest") == F.col("d2"), "left")
+        component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
+        return out.select("id", "n", component.alias("component"))
 
 
 def mark_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, threshold: int = 80) -> DataFrame:
