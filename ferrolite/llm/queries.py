@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, repeats, setsketch, toxicity, warc
+from . import bpe, exact, pfair, repeats, rules, setsketch, toxicity, warc
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -76,6 +76,14 @@ def op7(t: Tables) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "source", "block", "phase", "slot", "release", "deadline", "position")
 
 
+@query("op8_quality_rules")
+def op8(t: Tables) -> DataFrame:
+    held = crc_mod("doc_id", 4) == 2
+    model = rules.fit(t.documents, t.labels, allowed=crc_mod("id", 4) != 2)
+    scored = rules.score(t.documents.select("doc_id", held.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op9_substring_dedup")
 def op9(t: Tables) -> DataFrame:
     return repeats.cut_repeats(t.documents, text=False).drop("repeats")
