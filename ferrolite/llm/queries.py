@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, repeats, rules, setsketch, toxicity, warc
+from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, warc
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -61,6 +61,17 @@ def op4(t: Tables) -> DataFrame:
     return warc.read(t.spark, manifest, payload=False).drop("url")
 
 
+@query("op5_pii")
+def op5(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs, Scratch(t.spark, "pii")))
+
+    def count(i):
+        return F.size(F.filter("base", lambda s: s["rank"] == i)).cast("long")
+
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)], F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 @query("op6_setsketch_near_dedup")
 def op6(t: Tables) -> DataFrame:
     return setsketch.mark_near(t.documents)
