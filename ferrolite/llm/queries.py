@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, warc
+from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -25,6 +25,11 @@ def crc_mod(name: str, n: int):
     return F.crc32(F.col(name).cast("string").cast("binary")) % n
 
 
+@query("op1_embedding_near_dedup")
+def op1(t: Tables) -> DataFrame:
+    return vectors.mark_near(t.embeddings)
+
+
 @query("op2_exact_dedup", """
     WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
