@@ -19,6 +19,8 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        out._bytes = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
         return out
 
     def drop(self, *tables: DataFrame) -> None:
@@ -48,6 +50,14 @@ def order_hash(*cols, seed: int = 7) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
 
+SMALL_BYTES = 4 << 20
+
+
+def small(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """Mark a saved table (or columns of it) for broadcast if its files are known to be small; else leave it to a shuffled join."""
+    return F.broadcast(df) if getattr(table or df, "_bytes", SMALL_BYTES + 1) <= SMALL_BYTES else df
+
+
 def merged(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
-    """An equi-join without hints: Spark broadcasts a side only if its measured size is below the session's threshold; else hot keys are split."""
-    return left.join(right, on, how)
+    """An equi-join whose right side is broadcast only if it is a saved table of checked size; else Spark decides by measured sizes and splits hot keys."""
+    return left.join(small(right), on, how)

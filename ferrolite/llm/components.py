@@ -28,11 +28,10 @@ def _star(edges: DataFrame, scratch: Scratch, large: bool) -> DataFrame:
 
 def _is_done(edges: DataFrame) -> bool:
     """Stars only: every node is tied to one smaller node, which is tied to none."""
-    tied = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    if not tied.where("n > 1").isEmpty():
-        return False
-    centres = edges.select(F.col("b").alias("c")).distinct()
-    return merged(edges, centres, F.col("a") == F.col("c"), "left_semi").isEmpty()
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not seen.agg(F.max(((F.col("up") > 1) | (F.col("up") * F.col("down") > 0)).cast("int"))).first()[0]
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:

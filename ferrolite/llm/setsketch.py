@@ -7,9 +7,9 @@ how many registers are equal, greater and smaller and both set sizes; those that
 on their full sets, by whole-number arithmetic.
 
 Documents with equal sets are one class from the start. In a bucket every member is first compared with its hub, the
-member nearest to most others. Then members still in different components are compared, unless the hashes that only
-one of them has rule the pair out, so no link that could join two components is left out and a large group of copies
-makes about a pair a member. With 32 bands of 4 registers a pair at 0.8 shares no bucket with a chance below 10^-7.
+member nearest to most others. Then members of one hub that are still in different components are compared, unless the
+hashes that only one of them has or their registers rule the pair out, so no link that could join two components is
+left out and a large group of copies makes about a pair a member. With 32 bands of 4 registers a pair at 0.8 shares no bucket with a chance below 10^-7.
 
 Words are runs of bytes other than the space and U+0009 to U+000D, A-Z in lower case. With fewer words than a shingle
 has, the whole sequence is the one shingle. Null, empty and blank texts have an empty set and are linked with nothing.
@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bloom import ask, blocks_for, present
-from .common import Scratch, merged, unpack, whole_row
+from .common import Scratch, merged, small, unpack, whole_row
 from .components import components
 from .words import shingles, word_hashes
 
 BANDS, ROWS = 32, 4
-REGISTERS = BANDS * ROWS
+REGISTERS = 256  # the first BANDS * ROWS make the bucket keys, all of them the estimate
 BASE = 1.01
-SLACK = 0.13  # four standard errors of a similarity of 0.8 judged by this many registers
+SLACK = 0.1  # four standard errors of a similarity of 0.8 judged by this many registers
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -56,7 +56,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band, the band's number mixed in."""
-    x = registers.astype(np.int64).astype(np.uint64).reshape(BANDS, ROWS)
+    x = registers[: BANDS * ROWS].astype(np.int64).astype(np.uint64).reshape(BANDS, ROWS)
     h = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         for i in range(ROWS):
@@ -85,8 +85,8 @@ def likely_jaccard(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray)
     return (lo + hi) / 2
 
 
-def _sets(k: int, with_set: bool):
-    """Task function: (id, text) to a row of set size, digest and sketch, or the sorted set itself."""
+def _sets(k: int, with_set: bool, with_marks: bool = False):
+    """Task function: (id, text) to a row of set size, digest and sketch, or the sorted set itself; marks are the registers with their numbers."""
 
     def rows(batches):
         for batch in batches:
@@ -96,6 +96,8 @@ def _sets(k: int, with_set: bool):
                 out = {"id": ids.slice(i, len(sets)), "n": pa.array([len(s) for s in sets], pa.int64())}
                 if with_set:
                     out["hashes"] = pa.array([s.tobytes() for s in sets], pa.binary())
+                    if with_marks:
+                        out["marks"] = pa.array([(np.arange(REGISTERS, dtype=np.int32) << 16) | (sketch(s).astype(np.int32) & 0xFFFF) for s in sets], pa.list_(pa.int32()))
                 else:
                     made = [sketch(s) if len(s) else None for s in sets]
                     out["digest"] = pa.array([_digest(s) for s in sets], pa.binary())
@@ -157,7 +159,7 @@ class _Run:
         self.docs, self.k, self.threshold = docs, k, threshold
         self.scratch = Scratch(docs.sparkSession, "setsketch")
 
-    def sets(self, need: DataFrame) -> DataFrame:
+    def sets(self, need: DataFrame, marks: bool = False) -> DataFrame:
         """Full sets of some documents, made again from their texts; a bounded filter keeps the others' texts out of the shuffle."""
         s = self.scratch
         need = s.save(need)
@@ -165,19 +167,20 @@ class _Run:
         bits = s.save(present(need, F.col("need"), blocks))
         asked = ask(self.docs, F.col("id"), bits, blocks, "perhaps").where("perhaps").drop("perhaps")
         texts = merged(asked, need, F.col("id") == F.col("need"), "left_semi")
-        out = s.save(texts.mapInArrow(_sets(self.k, True), "id long, n long, hashes binary").where("n > 0"))
+        out = s.save(texts.mapInArrow(_sets(self.k, True, marks), "id long, n long, hashes binary" + ", marks array<int>" * marks).where("n > 0"))
         s.drop(need, bits)
         return out
 
     def judged(self, pairs: DataFrame) -> DataFrame:
         """The candidate pairs (a < b) that may be links as far as their sketches tell."""
         x, y = (self.reps.select(F.col("node").alias(f"id{i}"), F.col("n").alias(f"n{i}"), F.col("regs").alias(f"regs{i}")) for i in (1, 2))
-        both = merged(merged(pairs, x, F.col("a") == F.col("id1"), "inner").drop("id1"), y, F.col("b") == F.col("id2"), "inner")
+        pairs = self.scratch.save(pairs)
+        both = merged(merged(x, pairs, F.col("a") == F.col("id1"), "inner").drop("id1"), y, F.col("b") == F.col("id2"), "inner")
         return self.scratch.save(both.select("a", "b", "n1", "n2", "regs1", "regs2").mapInArrow(_judge(self.threshold, SLACK), "a long, b long"))
 
     def verified(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
         """Links among the pairs, by their full sets."""
-        first = merged(likely, sets.select(F.col("id").alias("ia"), F.col("hashes").alias("s")), F.col("a") == F.col("ia"), "inner").drop("ia")
+        first = merged(sets.select(F.col("id").alias("ia"), F.col("hashes").alias("s")), likely, F.col("a") == F.col("ia"), "inner").drop("ia")
         full = merged(first, sets.select(F.col("id").alias("ib"), F.col("hashes").alias("t")), F.col("b") == F.col("ib"), "inner")
         return self.scratch.save(full.select("a", "b", "s", "t").mapInArrow(_verify(self.threshold), "a long, b long"))
 
@@ -193,32 +196,37 @@ class _Run:
         return out
 
     def to_hubs(self, buckets: DataFrame) -> DataFrame:
-        """Pairs of each member with its bucket's hub: the member that shares most buckets with most documents."""
+        """(member, hub): each member of a bucket with the member that shares most buckets with most documents, itself included."""
         weight = buckets.groupBy("member").agg(F.sum("size").alias("w")).withColumnRenamed("member", "m")
         hubs = merged(buckets, weight, F.col("member") == F.col("m"), "inner").groupBy("key").agg(
             F.max_by("member", F.struct("w", -F.col("member"))).alias("hub")).withColumnRenamed("key", "k2")
-        tied = merged(buckets, self.scratch.save(hubs), F.col("key") == F.col("k2"), "inner").where("member <> hub")
-        return tied.select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
+        tied = merged(buckets, self.scratch.save(hubs), F.col("key") == F.col("k2"), "inner")
+        return self.scratch.save(tied.select("member", "hub").distinct())
 
-    def rest(self, buckets: DataFrame, comp: DataFrame) -> DataFrame | None:
-        """Links between components that meet in a bucket of three members and more; None if no bucket has such."""
+    def rest(self, tied: DataFrame, comp: DataFrame) -> DataFrame | None:
+        """Links between components that meet at a hub with three members and more; None if no hub has such.
+
+        Members that share a bucket share its hub. A pair is made only if the hashes that one document alone has, which
+        no pair can share, leave room for the threshold, and enough registers agree.
+        """
         s = self.scratch
-        label = merged(buckets.where("size > 2"), comp, F.col("member") == F.col("node"), "left").select("member", "key", F.coalesce("component", "member").alias("comp"))
-        label = s.save(label)
-        mixed = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(F.col("key").alias("k2"))
-        mixed = s.save(merged(label, mixed, F.col("key") == F.col("k2"), "left_semi"))
+        label = s.save(tied.join(small(comp, comp), F.col("member") == F.col("node"), "left").select("member", "hub", F.coalesce("component", "member").alias("comp")))
+        open_ = s.save(label.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+                       .where("lo < hi AND size > 2").select(F.col("hub").alias("h2")))
+        mixed = merged(label, open_, F.col("hub") == F.col("h2"), "left_semi")
+        mixed = s.save(mixed.groupBy("member").agg(F.min("comp").alias("comp"), F.collect_set("hub").alias("hubs")))  # as many hubs as bands at most
         if mixed.isEmpty():
             return None
-        sets = self.sets(mixed.select(F.col("member").alias("need")).distinct())
-        # Hashes that one document alone has cannot be shared: they bound what any pair can reach.
+        sets = self.sets(mixed.select(F.col("member").alias("need")), marks=True)
         alone = sets.select("id", "hashes").mapInArrow(_flat, "id long, hash long").groupBy("hash").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c")).where("c = 1")
-        alone = alone.groupBy(F.col("id").alias("u_id")).agg(F.count(F.lit(1)).alias("u"))
-        sized = merged(sets.groupBy("id").agg(F.min("n").alias("n"), F.max("n").alias("top")), alone, F.col("id") == F.col("u_id"), "left")
-        sized = s.save(sized.select("id", "n", (F.col("top") - F.coalesce("u", F.lit(0))).alias("most")))
-        mine = s.save(merged(mixed, sized, F.col("member") == F.col("id"), "inner").select("member", "key", "comp", "n", "most"))
+        alone = s.save(alone.groupBy(F.col("id").alias("u_id")).agg(F.count(F.lit(1)).alias("u")))
+        sized = merged(sets, alone, F.col("id") == F.col("u_id"), "left").select("id", "n", "marks", (F.col("n") - F.coalesce("u", F.lit(0))).alias("most"))
+        mine = s.save(sized.join(small(mixed, mixed), F.col("member") == F.col("id"), "inner").select("member", F.explode("hubs").alias("hub"), "hubs", "comp", "n", "most", "marks"))
         other = mine.select(*[F.col(c).alias(f"{c}2") for c in mine.columns])
-        can = (100 + self.threshold) * F.least("most", "most2") >= self.threshold * (F.col("n") + F.col("n2"))
-        pairs = merged(mine, other, (F.col("key") == F.col("key2")) & (F.col("member") < F.col("member2")) & (F.col("comp") != F.col("comp2")) & can, "inner")
+        room = (100 + self.threshold) * F.least("most", "most2") >= self.threshold * (F.col("n") + F.col("n2"))
+        agree = F.size(F.array_intersect("marks", "marks2")) >= int(REGISTERS * (self.threshold / 100 - SLACK))
+        once = F.array_min(F.array_intersect("hubs", "hubs2")) == F.col("hub")
+        pairs = mine.join(other, (F.col("hub") == F.col("hub2")) & (F.col("member") < F.col("member2")) & (F.col("comp") != F.col("comp2")) & room & once & agree, "inner")
         return self.verified(self.judged(pairs.select(F.col("member").alias("a"), F.col("member2").alias("b")).distinct()), sets)
 
     def solve(self) -> DataFrame:
@@ -226,14 +234,15 @@ class _Run:
         s = self.scratch
         made = s.save(self.docs.mapInArrow(_sets(self.k, False), "id long, n long, digest binary, regs binary, keys array<long>"))
         buckets = self.candidates(made.where("n > 0 AND id IS NOT NULL"))
-        likely = self.judged(self.to_hubs(buckets))
+        tied = self.to_hubs(buckets)
+        likely = self.judged(tied.where("member <> hub").select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct())
         links = self.verified(likely, self.sets(likely.select(F.explode(F.array("a", "b")).alias("need")).distinct()))
         comp = s.save(components(links, s))
-        more = self.rest(buckets, comp)
+        more = self.rest(tied, comp)
         if more is not None and not more.isEmpty():
             comp = s.save(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), s))
         nodes = self.reps.select(F.col("digest").alias("d2"), "node")
-        nodes = s.save(merged(nodes, comp.select(F.col("node").alias("c"), "component"), F.col("node") == F.col("c"), "left")
+        nodes = s.save(nodes.join(small(comp.select(F.col("node").alias("c"), "component"), comp), F.col("node") == F.col("c"), "left")
                        .select("d2", F.coalesce("component", "node").alias("component")))
         out = merged(made.select("id", "n", "digest"), nodes, F.col("digest") == F.col("d2"), "left")
         component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
