@@ -1,24 +1,24 @@
 """Exact ordered computations (positions, running totals, neighbours) without a one-task sort.
 
 A global or per-group window normally sorts a whole group in one task. Here the
-order is first cut into *cells*: ranges of the sort key that hold about equally
-many rows. Windows run inside one (group, cell); a small table with one row
-per (group, cell) carries counts or totals over from the earlier cells. One
-value that holds a large share of the rows gets cells of its own, cut by the
-next sort column, so ties cannot make a cell hot.
+order is first cut into *cells*: ranges of the full sort key that hold about equally
+many rows, as many as the number of rows asks for. Windows run inside one (group, cell); a small table with one row
+per (group, cell) carries counts or totals over from the earlier cells. A
+value that holds a large share of the rows is cut by the next sort columns, so
+ties cannot make a cell hot.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
-from .cols import as_list, same_keys
+from .cols import as_list, same_keys, with_row
 
-EXACT_DOUBLE = 2.0**53
-SKETCH_SHARE = 0.1
+ROWS_PER_CELL = 1 << 20
+LEAST_PER_CELL = 1 << 10
+SAMPLE, PER_BOUND = 1 << 12, 16
 
 
 @dataclass(frozen=True)
@@ -36,77 +36,75 @@ def keys_of(order) -> list[Key]:
     return [k if isinstance(k, Key) else Key(k.lstrip("-"), k.startswith("-")) for k in as_list(order)]
 
 
-def _image(df: DataFrame, key: Key) -> tuple[Column, bool]:
-    """A double that never decreases along the key, and whether equal images mean equal values."""
-    c, t = F.col(key.name), df.schema[key.name].dataType
-    exact = True
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        img = F.unix_micros(c.cast("timestamp")).cast("double")
-    elif isinstance(t, T.DateType):
-        img = F.unix_date(c).cast("double")
-    elif isinstance(t, T.StringType):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        img, exact = F.conv(head, 16, 10).cast("double"), False
-    elif isinstance(t, T.BooleanType):
-        img = c.cast("int").cast("double")
-    else:
-        img, exact = c.cast("double"), not isinstance(t, T.DecimalType)
-    return (-img if key.desc else img), exact
-
-
-def _bounds(df: DataFrame, image: Column, n: int) -> list[float]:
-    probs = [i / n for i in range(1, n)]
-    if not probs:
-        return []
-    # Like a range partitioner's bounds, these only steer balance: any bounds give the same result.
-    row = df.sample(SKETCH_SHARE, seed=7).agg(F.percentile_approx(image, probs, 10 * n).alias("b")).first()
-    return sorted(x for x in (row["b"] or []) if x == x and abs(x) != float("inf"))
-
-
-def _bucket(df: DataFrame, src: str, dst: str, bounds: list[float]) -> DataFrame:
-    """Number of bounds <= value (binary search in the JVM)."""
-    cuts = sorted(set(bounds))
-    if not cuts:
-        return df.withColumn(dst, F.lit(0.0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=src, outputCol=dst, handleInvalid="keep").transform(df)
+def _sample(df: DataFrame, order: list[Key], size: int) -> tuple[list, int]:
+    """At most `size` random rows' sort keys in order, and the number of rows, by one job."""
+    seen = Observation()
+    keys = df.observe(seen, F.count(F.lit(1)).alias("n")).select(*[F.col(k.name).alias(f"k{i}") for i, k in enumerate(order)])
+    some = keys.withColumn("draw", F.rand(7)).orderBy("draw").limit(size).drop("draw")
+    rows = some.sortWithinPartitions(*[Key(f"k{i}", k.desc).sort() for i, k in enumerate(order)]).collect()
+    return rows, int(seen.get["n"])
+
+
+def cells_for(n_rows: int, spark) -> int:
+    """A cell for each ROWS_PER_CELL rows; small tables get fewer cells than shuffle partitions."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(tasks, -(-n_rows // LEAST_PER_CELL)), -(-n_rows // ROWS_PER_CELL), 1)
 
 
 def cell_count(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(n, 4096))
+    return cells_for(df.count(), df.sparkSession)
+
+
+def _bounds(df: DataFrame, order: list[Key], n: int | None) -> list:
+    """Sort keys that cut the rows into about equal cells. They only steer balance: any bounds give the same result."""
+    rows, total = _sample(df, order, SAMPLE)
+    n = n or cells_for(total, df.sparkSession)
+    if n * PER_BOUND > SAMPLE and total > SAMPLE:
+        rows, _ = _sample(df, order, n * PER_BOUND)
+    picked = [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
+    return [r for r, before in zip(picked, [None, *picked]) if r != before]
+
+
+def _not_after(bound, order: list[Key], values: list[Column]) -> Column:
+    """Does a bound stand before the row in the full sort order, or at its place? Null is the least value."""
+    before, tied = F.lit(False), F.lit(True)
+    for i, (key, v) in enumerate(zip(order, values)):
+        b = bound[f"k{i}"]
+        low, high = (v, b) if key.desc else (b, v)
+        before = before | (tied & F.coalesce((low.isNull() & high.isNotNull()) | (low < high), F.lit(False)))
+        tied = tied & b.eqNullSafe(v)
+    return before | tied
 
 
 def with_cells(df: DataFrame, order, n: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add `__cell`, which never decreases along the order and splits the rows evenly.
 
-    `bounds_from` may name a cheaper frame with the same first sort column (for
-    counts of equal values: the rows before counting) to take the quantile sketch from.
+    Cells are cut by the values of all sort columns in their own types, so a value that holds many rows is cut by the
+    next columns, and a common prefix of strings does no harm. `bounds_from` may name a cheaper frame with the same
+    first sort column (for counts of equal values: the rows before counting) to sample from.
     """
     order = keys_of(order)
-    n = n or cell_count(df)
-    img, exact = _image(df, order[0])
-    bounds = _bounds(df if bounds_from is None else bounds_from, img, n)
-    hot = {b for a, b in zip(bounds, bounds[1:]) if a == b and exact and abs(b) < EXACT_DOUBLE}
-    out = _bucket(df.withColumn("__img", img), "__img", "__b1", bounds)
-    first = F.col("__b1") * 2 + 1
-    second = F.lit(0.0)
-    width = 1.0
-    if hot and len(order) > 1:
-        is_hot = F.col("__img").isin(sorted(hot))
-        img2, _ = _image(df, order[1])
-        bounds2 = _bounds(out.where(is_hot), img2, n)
-        out = _bucket(out.withColumn("__img2", img2), "__img2", "__b2", bounds2)
-        first = first - is_hot.cast("double")
-        null2 = F.lit(n + 1.0 if order[1].desc else -1.0)
-        second = F.when(is_hot, F.when(F.col("__img2").isNull(), null2).otherwise(F.col("__b2")) + 1).otherwise(0.0)
-        width = n + 3.0
-    null1 = F.lit(float(2 * n + 4) if order[0].desc else -1.0)
-    cell = F.when(F.col("__img").isNull(), null1 * width).otherwise(first * width + second)
-    if isinstance(df.schema[order[0].name].dataType, (T.DoubleType, T.FloatType)):
-        low, high = F.lit(-0.5 * width), F.lit(float(2 * n + 3) * width)
-        cell = F.when(F.isnan("__img"), low if order[0].desc else high).otherwise(cell)
-    return out.withColumn("__cell", cell.cast("long")).drop("__img", "__b1", "__img2", "__b2")
+    source = df if bounds_from is None else bounds_from
+    used = order if bounds_from is None else [k for k in order if k.name in bounds_from.columns]
+    rows = _bounds(source, used, n)
+    if not rows:
+        return df.withColumn("__cell", F.lit(0).cast("long"))
+    fields = [T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(used)]
+    kind = T.StructType([T.StructField("bounds", T.ArrayType(T.StructType(fields)))])
+    steps = max(1, len(rows).bit_length())
+    values = [F.col(k.name) for k in used]
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        up = _not_after(F.get("__bounds", mid), used, values)
+        open_ = acc["lo"] < acc["hi"]
+        return F.struct(F.when(open_ & up, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(open_ & ~up, mid).otherwise(acc["hi"]).alias("hi"))
+
+    one = df.sparkSession.createDataFrame([([tuple(r) for r in rows],)], kind)
+    held = with_row(df, one.withColumnRenamed("bounds", "__bounds"))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(rows)).alias("hi"))
+    cell = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"].cast("long"))
+    return held.withColumn("__cell", cell).drop("__bounds")
 
 
 def _prefix(table: DataFrame, group: list[str], carried: dict[str, Column]) -> DataFrame:
@@ -131,8 +129,8 @@ def number_rows(df: DataFrame, order, group=(), out: str = "pos", total: str | N
                          F.sum("__n").over(w).alias("__total"))
     inner = Window.partitionBy(*group, "__cell").orderBy(*[k.sort() for k in keys_of(order)])
     ranked = parts.withColumn("__rn", F.row_number().over(inner))
-    # Without groups the table has one row per cell (a few thousand at most), so the hint is bounded.
-    joined = same_keys(ranked, sizes, [*group, "__cell"], hint=not group)
+    # Without groups the table has one row per cell; Spark decides by its size.
+    joined = same_keys(ranked, sizes, [*group, "__cell"])
     joined = joined.withColumn(out, F.col("__rn") - 1 + F.col("__off"))
     if total:
         joined = joined.withColumn(total, F.col("__total"))
@@ -154,7 +152,7 @@ def running(df: DataFrame, order, group=(), sums: dict[str, Column] | None = Non
     inner = (Window.partitionBy(*group, "__cell").orderBy(*[k.sort() for k in order])
              .rowsBetween(Window.unboundedPreceding, 0))
     parts = parts.withColumns({f"__w_{k}": f(f"__v_{k}").over(inner) for k, _, f, _ in spec})
-    joined = same_keys(parts, carry, [*group, "__cell"], hint=not group)
+    joined = same_keys(parts, carry, [*group, "__cell"])
     joined = joined.withColumns({k: join(F.col(f"__c_{k}"), F.col(f"__w_{k}")) for k, _, _, join in spec})
     return joined.drop("__cell", *[f"__{p}_{k}" for k, *_ in spec for p in "vcw"])
 
@@ -175,7 +173,7 @@ def next_valid(df: DataFrame, order, value: str, out: str, group=()) -> DataFram
     later = Window.partitionBy(*group).orderBy("__cell").rowsBetween(1, Window.unboundedFollowing)
     carry = heads.select(*group, "__cell", F.first("__head", ignorenulls=True).over(later).alias("__carry"))
     filled = parts.withColumn("__here", F.first(value, ignorenulls=True).over(ahead))
-    joined = same_keys(filled, carry, [*group, "__cell"], hint=not group)
+    joined = same_keys(filled, carry, [*group, "__cell"])
     return joined.withColumn(out, F.coalesce("__here", "__carry")).drop("__cell", "__here", "__carry")
 
 

@@ -114,16 +114,20 @@ def association(df: DataFrame, target: str, numeric=(), categorical=()) -> DataF
 
 
 def cramers_v(df: DataFrame, target: str, categorical) -> DataFrame:
-    """Cramer's V of categorical columns with a categorical target."""
-    stat = chi_square(df, categorical, target)
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    return with_row(stat, n).select(
-        "feature", r(F.sqrt(div(F.col("statistic"), F.col("__n") * F.least(F.col("rows") - 1, F.col("cols") - 1)))).alias("cramers_v"))
+    """Cramer's V of categorical columns with a categorical target; rows that lack either value do not count."""
+    return _independence(df, categorical, target).select(
+        "feature", r(F.sqrt(div(F.col("x2"), F.col("n") * F.least(F.col("rows") - 1, F.col("cols") - 1)))).alias("cramers_v"))
 
 
 def chi_square(df: DataFrame, features, label: str) -> DataFrame:
-    """Independence statistic and degrees of freedom per feature, from cell counts (n * (sum O^2 / (R*C) - 1))."""
-    cells = value_counts_long(df, features, group=[label])
+    """Independence statistic and degrees of freedom per feature; rows that lack either value do not count."""
+    return _independence(df, features, label).select(
+        "feature", r(F.col("x2"), 5).alias("statistic"), ((F.col("rows") - 1) * (F.col("cols") - 1)).alias("degrees"), "rows", "cols")
+
+
+def _independence(df: DataFrame, features, label: str) -> DataFrame:
+    """(feature, x2, n, rows, cols) from cell counts: n * (sum O^2 / (R*C) - 1)."""
+    cells = value_counts_long(df.where(F.col(label).isNotNull()), features, group=[label])
     rows = cells.groupBy("column", "value").agg(F.sum("n").alias("__row"))
     cols = cells.groupBy("column", label).agg(F.sum("n").alias("__col"))
     sizes = cells.groupBy("column").agg(F.sum("n").alias("__n"), F.count_distinct("value").alias("rows"),
@@ -131,8 +135,7 @@ def chi_square(df: DataFrame, features, label: str) -> DataFrame:
     joined = same_keys(same_keys(cells, rows, ["column", "value"]), cols, ["column", label])
     parts = joined.groupBy("column").agg(F.sum(F.col("n").cast("double") * F.col("n") / (F.col("__row").cast("double") * F.col("__col"))).alias("__s"))
     return (parts.join(sizes, "column")
-            .select(F.col("column").alias("feature"), r(F.col("__n") * (F.col("__s") - 1), 5).alias("statistic"),
-                    ((F.col("rows") - 1) * (F.col("cols") - 1)).alias("degrees"), "rows", "cols"))
+            .select(F.col("column").alias("feature"), (F.col("__n") * (F.col("__s") - 1)).alias("x2"), F.col("__n").alias("n"), "rows", "cols"))
 
 
 def chi_square_test(df: DataFrame, features, label: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -23,6 +24,8 @@ from .models import CLASSIFIERS, cross_val_score, estimator, train_any, with_par
 
 TRIAL_SCHEMA = "study string, number long, iteration int, loss double, params map<string,string>, state string, train_time double, source string"
 
+log = logging.getLogger(__name__)
+
 
 # ---------------------------------------------------------------- history
 
@@ -273,7 +276,8 @@ def _run_trial(objective, params: dict):
     t = time.time()
     try:
         return float(objective(params)), "COMPLETE", time.time() - t
-    except Exception:  # noqa: BLE001 - a failed setting is part of the history
+    except Exception:  # a failed setting is part of the history, its reason of the log
+        log.exception("trial failed with %s", params)
         return None, "FAIL", time.time() - t
 
 
@@ -461,8 +465,8 @@ def evolve(spark: SparkSession, fitness, spec: dict, generations: int = 3, popul
     fitness(params) -> loss, usually a cross-validated Spark fit. `start` warm-starts the population.
     """
     fresh = iter(K.params_of(row.asDict(), spec) for row in K.sample_space(spark, spec, population * (generations + 1) * 2, seed).orderBy("draw").collect())
-    pool = [dict(p) for p in (start or [])][:population]
-    pool += [next(fresh) for _ in range(population - len(pool))]
+    pool = [dict(p) for p in (start or [])]  # all of them, even beyond the population
+    pool += [next(fresh) for _ in range(max(0, population - len(pool)))]
     cache, rows = {}, []
     for g in range(generations):
         todo = [p for p in {json.dumps(p, sort_keys=True): p for p in pool}.items() if p[0] not in cache]
@@ -511,19 +515,20 @@ class CachedPrefix:
         self.train.unpersist()
 
 
-def leaderboard(df: DataFrame, label: str, key, families: dict[str, dict], metric: str, max_models: int = 10, max_secs: float | None = None, k: int = 3, seed: int = 1) -> DataFrame:
-    """Model families cross-validated under a budget, best first. `df` holds an assembled `features` column."""
+def leaderboard(df: DataFrame, label: str, key, families: dict[str, dict], metric: str, max_models: int | None = None, max_secs: float | None = None, k: int = 3, seed: int = 1) -> DataFrame:
+    """Model families cross-validated under a budget, best first; families that the budget leaves out follow with the state SKIPPED. `df` holds an assembled `features` column."""
     evaluator, start, rows = metric_evaluator(metric, label), time.time(), []
-    for name, params in list(families.items())[:max_models]:
-        if max_secs is not None and rows and time.time() - start > max_secs:
-            break
+    for i, (name, params) in enumerate(families.items()):
+        if (max_models is not None and i >= max_models) or (max_secs is not None and rows and time.time() - start > max_secs):
+            rows.append((name, None, None, None, "SKIPPED"))
+            continue
         t = time.time()
         kind = params.get("model", name)
         est = estimator(kind, "features", label, **{p: v for p, v in params.items() if p != "model"})
         stats = cross_val_score(df, est, k, key, evaluator, label if kind in CLASSIFIERS else None, seed).agg(F.avg("score"), F.stddev_pop("score")).first()
-        rows.append((name, stats[0], stats[1], time.time() - t))
-    out = df.sparkSession.createDataFrame(rows, f"model string, mean_{metric} double, sd_{metric} double, seconds double")
-    best = F.desc(f"mean_{metric}") if evaluator.isLargerBetter() else F.asc(f"mean_{metric}")
+        rows.append((name, stats[0], stats[1], time.time() - t, "COMPLETE"))
+    out = df.sparkSession.createDataFrame(rows, f"model string, mean_{metric} double, sd_{metric} double, seconds double, state string")
+    best = F.desc_nulls_last(f"mean_{metric}") if evaluator.isLargerBetter() else F.asc_nulls_last(f"mean_{metric}")
     return out.orderBy(best, "model")
 
 

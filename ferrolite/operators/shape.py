@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
-from pyspark.ml.feature import FeatureHasher, SQLTransformer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.hashing import portable_hash
 from ..functions.cols import as_list, r, require, same_keys
 from .levels import decode_levels, encode_levels, level_table
 
@@ -197,11 +198,18 @@ def page_offsets(queries: DataFrame, pages: int, size: int) -> DataFrame:
     return queries.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit((pages - 1) * size), F.lit(size))))
 
 
-def dict_features(df: DataFrame, map_col: str, n: int, key: str, out: str = "features") -> DataFrame:
-    """Map entries as hashed sparse features: one `name=value` term for text values, summed numbers."""
-    terms = F.transform(F.map_entries(map_col), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    flat = df.withColumn("__terms", F.concat_ws("\u0001", terms))
-    return FeatureHasher(inputCols=["__terms"], outputCol=out, numFeatures=n).transform(flat).drop("__terms")
+def dict_features(df: DataFrame, map_col: str, n: int, out: str = "features") -> DataFrame:
+    """Map entries as hashed features: a number adds to its name's slot, a text value counts 1 in the slot of `name=value`; null values count nothing."""
+    def slot(e):
+        value = e["value"].cast("string")
+        number = value.try_cast("double")
+        term = F.when(number.isNull(), F.concat_ws("=", e["key"], value)).otherwise(e["key"])
+        return F.struct(F.pmod(portable_hash(0, term), F.lit(n)).alias("slot"), F.coalesce(number, F.lit(1.0)).alias("x"))
+
+    slots = F.transform(F.filter(F.map_entries(map_col), lambda e: e["value"].isNotNull()), slot)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.aggregate(
+        F.filter("__slots", lambda s: s["slot"] == i), F.lit(0.0), lambda acc, s: acc + s["x"]))
+    return df.withColumn("__slots", F.coalesce(slots, F.array())).withColumn(out, array_to_vector(dense)).drop("__slots")
 
 
 def dict_columns(df: DataFrame, map_col: str, names) -> DataFrame:

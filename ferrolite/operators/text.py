@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -91,12 +92,18 @@ def tf_idf(df: DataFrame, key: str, tokens: str = "tokens", sublinear: bool = Tr
     return same_keys(weights, norms, key).select(key, "term", (F.col("weight") / F.col("__norm")).alias("weight"))
 
 
+@cache
 def _accent_table() -> tuple[str, str]:
-    """Latin letters whose canonical decomposition is one ASCII letter plus marks."""
-    src = [chr(c) for c in range(0xC0, 0x250)]
-    pairs = [(c, unicodedata.normalize("NFD", c)[0]) for c in src if len(unicodedata.normalize("NFD", c)) > 1]
-    pairs = [(c, b) for c, b in pairs if b.isascii()]
-    return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
+    """Letters that decompose to one letter and marks, with that letter; then the marks, which translate to nothing."""
+    letters, marks = [], []
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x20000)]):
+        parts = unicodedata.normalize("NFD", c)
+        base = [x for x in parts if not unicodedata.combining(x)]
+        if not base:
+            marks.append(c)
+        elif len(base) == 1 and parts != c and base[0] != c:
+            letters.append((c, base[0]))
+    return "".join(c for c, _ in letters) + "".join(marks), "".join(b for _, b in letters)
 
 
 def strip_accents(df: DataFrame, text: str, out: str | None = None) -> DataFrame:

@@ -86,11 +86,31 @@ def _(t):
     return P.chi_square(t.orders, ["o_orderpriority"], "o_orderstatus")
 
 
-@query("cramers_v", "C4", sql=f"SELECT 'o_orderpriority' AS feature, round(sqrt(round(x2, 5) / ((SELECT count(*) FROM orders) * least(rows - 1, cols - 1))), 6) AS cramers_v FROM ({CHI})")
+@query("cramers_v", "C4", sql=f"SELECT 'o_orderpriority' AS feature, round(sqrt(x2 / ((SELECT count(*) FROM orders) * least(rows - 1, cols - 1))), 6) AS cramers_v FROM ({CHI})")
 def _(t):
     return P.cramers_v(t.orders, "o_orderstatus", ["o_orderpriority"])
 
 
+GAPS = "SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS p, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS s FROM orders"
+CHI_GAPS = f"""WITH o AS ({GAPS}), k AS (SELECT * FROM o WHERE p IS NOT NULL AND s IS NOT NULL), c AS (SELECT p, s, count(*) AS n FROM k GROUP BY ALL),
+   a AS (SELECT p, sum(n) AS rn FROM c GROUP BY 1), b AS (SELECT s, sum(n) AS cn FROM c GROUP BY 1)
+   SELECT sum(n)::DOUBLE AS total, sum(n) * (sum(n * n::DOUBLE / (rn::DOUBLE * cn)) - 1) AS x2, count(DISTINCT p) AS rows, count(DISTINCT s) AS cols FROM c JOIN a USING (p) JOIN b USING (s)"""
+
+
+def _gaps(t):
+    return t.orders.select(F.expr("CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS p"), F.expr("CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS s"))
+
+
+@query("chi_square_gaps", "C6", sql=f"SELECT 'p' AS feature, round(x2, 5) AS statistic, (rows - 1) * (cols - 1) AS degrees, rows, cols FROM ({CHI_GAPS})")
+def _(t):
+    return P.chi_square(_gaps(t), ["p"], "s")
+
+
+@query("cramers_v_gaps", "C4", sql=f"SELECT 'p' AS feature, round(sqrt(x2 / (total * least(rows - 1, cols - 1))), 6) AS cramers_v FROM ({CHI_GAPS})")
+def _(t):
+    return P.cramers_v(_gaps(t), "s", ["p"])
+
+
 @query("chi_square_test", "C6")
 def _(t):
     df = t.lineitem.select((F.col("l_returnflag") == "R").cast("int").alias("y"), "l_linenumber", "l_quantity")

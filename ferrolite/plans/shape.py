@@ -187,11 +187,14 @@ def _(t):
     return S.dict_columns(df, "bag", ["click", "purchase"])
 
 
-@query("dict_features", "B25")
-def _(t):
-    df = t.events.select("event_id", F.from_json("props", "MAP<STRING, STRING>").alias("bag"))
-    out = S.dict_features(df, "bag", 64, "event_id")
-    return out.select("event_id", F.array_join(F.transform(S.vector_to_array("features"), lambda x: x.cast("int").cast("string")), "").alias("bits"))
+@query("dict_features", "B25", sql="""
+    WITH t AS (SELECT event_id, unnest([{term: 'k', x: (props->>'k')::DOUBLE}, {term: 'kind=' || event_type, x: 1.0::DOUBLE}], recursive := true) FROM events),
+    s AS (SELECT event_id, (('0x' || substr(md5('0|' || term), 1, 8))::BIGINT % 16) AS slot, sum(x) AS x FROM t GROUP BY ALL)
+    SELECT event_id, list_transform(range(16), lambda i: coalesce(m[i], 0.0))::DOUBLE[] AS features
+    FROM (SELECT event_id, map(list(slot), list(x)) AS m FROM s GROUP BY 1)""")
+def _(t):
+    bag = F.map_concat(F.from_json("props", "MAP<STRING, STRING>"), F.create_map(F.lit("kind"), F.col("event_type")))
+    return S.dict_features(t.events.select("event_id", bag.alias("bag")), "bag", 16).select("event_id", S.vector_to_array("features").alias("features"))
 
 
 @query("align_columns", "D3", sql="SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey < 10")

@@ -30,7 +30,7 @@ def _(t):
 @query("read_delimited", "A3", sql=r"SELECT doc_id::VARCHAR AS ID, md5(regexp_replace(lang || '||' || text, '[\r\n]+', ' ', 'g')) AS digest FROM documents")
 def _(t):
     path = work_dir(t.spark, "delimited")
-    W.write_delimited(t.documents.select("doc_id", "lang", "text"), path)
+    W.write_delimited(t.documents.select("doc_id", "lang", "text"), path, header="Number||Body", line_breaks="space")
     return R.read_delimited(t.spark, path, ["ID", "Text"]).select("ID", F.md5("Text").alias("digest"))
 
 

@@ -6,6 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+NO_CHAR = "\u0001"  # a separator that lines do not hold, so that the reader gives whole lines
+
+
 def read_csv(spark: SparkSession, path: str, schema=None, header: bool = False, infer: bool = False, **options) -> DataFrame:
     """A declared schema reads once; inference reads the data an extra time."""
     if (schema is None) == (not infer):
@@ -15,14 +18,14 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = False,
 
 
 def read_delimited(spark: SparkSession, path: str, names, sep: str = "||", skip_header: bool = True) -> DataFrame:
-    """Lines cut at a literal multi-character separator; the last field keeps any further separators."""
+    """Lines cut at a literal multi-character separator; the last field keeps any further separators.
+
+    skip_header leaves out the first line of every file, whatever it says; the names are the caller's. Blank lines are no rows.
+    """
     names = list(names)
-    lines = spark.read.text(path)
+    lines = spark.read.schema("value string").csv(path, sep=NO_CHAR, quote="", escape="", header=skip_header, enforceSchema=True).where("value IS NOT NULL")
     cut = F.split(F.col("value"), "\\Q" + sep + "\\E", len(names))
-    rows = lines.select(*[F.get(cut, F.lit(i)).alias(n) for i, n in enumerate(names)], "value")
-    if skip_header:  # every file of the folder starts with the same header line
-        rows = rows.where(F.col("value") != sep.join(names))
-    return rows.drop("value")
+    return lines.select(*[F.get(cut, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def read_tsv(spark: SparkSession, path: str, n_features: int, label: str = "label") -> DataFrame:
