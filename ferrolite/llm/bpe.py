@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import small_batches
+
 CHUNK = 1 << 19
 PIECES = 1 << 16
 KNOWN = 1 << 18
@@ -137,6 +139,7 @@ class Encoder:
 
 def _map(df: DataFrame, source: str, make, added: list[T.StructField]) -> DataFrame:
     """Replace or append columns computed from one column, batch by batch."""
+    small_batches(df.sparkSession)
     names = [f.name for f in added]
     keep = [f for f in df.schema.fields if f.name not in names]
     if source in names:

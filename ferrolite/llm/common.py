@@ -7,10 +7,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.store import work_dir
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds on what a Python worker is handed at once, as texts may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 class Scratch:
     """Tables of one run in the shared folder: computed once, reread by any executor, small ones dropped early."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark, self.base, self.count = spark, work_dir(spark, name), 0
 
     def save(self, df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import whole_row
+from .common import small_batches, whole_row
 from .toxicity import labelled_sample
 from .trees import Test, holds, paths
 
@@ -60,6 +60,7 @@ def statistics(text: str | None) -> tuple[float, ...]:
 
 def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add one column for each statistic, under the prefix `stat_`."""
+    small_batches(df.sparkSession)
     kind = ", ".join(f"{s} double" for s in STATS)
 
     @F.pandas_udf(kind)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import order_hash, unpack, whole_row
+from .common import order_hash, small_batches, unpack, whole_row
 from .ngrams import BITS, buckets
 
 PER_CLASS = 1500
@@ -132,6 +132,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "d
 
 def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """Add the score of each row's whole text. The model's tables are of fixed size."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.slope, model.offset))
     kind = F.pandas_udf(lambda s: s.map(lambda x: score_text(x, *shared.value)).astype("float64"), "double")
     return df.withColumn(out, kind(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
