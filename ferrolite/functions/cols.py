@@ -76,12 +76,14 @@ def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
 
 
 def skew_safe_lookup(left: DataFrame, right: DataFrame, key: str, spread_by, how: str = "inner",
-                     salts: int = 16) -> DataFrame:
+                     slice_rows: int = 1 << 20) -> DataFrame:
     """Join many left rows to the one right row of their key when a key may be hot.
 
-    Left rows of a key are spread over `salts` slices by a hash of `spread_by`;
-    the right side (one row per key) is copied once per slice.
+    Keys are counted first. A key with more than `slice_rows` left rows is spread over as many slices as that
+    takes, by a hash of `spread_by`, and only its right row is copied; other keys join as they are.
     """
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*as_list(spread_by)), F.lit(salts)).cast("int"))
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = left.groupBy(F.col(key).alias("__hot")).agg(F.ceil(F.count(F.lit(1)) / slice_rows).alias("__slices")).where("__slices > 1")
+    slices = F.coalesce("__slices", F.lit(1))
+    salted = left.join(heavy, F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.pmod(F.xxhash64(*as_list(spread_by)), slices)).drop("__hot", "__slices")
+    copies = right.join(heavy, F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))).drop("__hot", "__slices")
     return salted.join(copies, [key, "__salt"], how).drop("__salt")

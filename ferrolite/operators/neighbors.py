@@ -245,8 +245,9 @@ def conditional_knn(queries: DataFrame, base: DataFrame, key: str, vec: str, lab
 
 
 def matches_per_class(queries: DataFrame, base: DataFrame, key: str, vec: str, label: str, classes, **kw) -> DataFrame:
-    """Nearest base row of every class, one column per class, in one pass."""
-    best = knn_join(queries, base, key, vec, 1, label=label, per_label=True, **kw)
+    """Nearest base row of every listed class, one column per class, in one pass; a query without any has nulls."""
+    best = knn_join(queries, base.where(F.col(label).isin(list(classes))), key, vec, 1, label=label, per_label=True, **kw)
+    best = queries.select(F.col(key).cast("long").alias("query_id")).distinct().join(best, "query_id", "left")
     return (best.groupBy("query_id").pivot("label", list(classes)).agg(F.min("base_id"))
             .select("query_id", *[F.col(str(c)).alias(f"match_{c}") for c in classes]))
 
@@ -255,8 +256,7 @@ def knn_classify(train: DataFrame, test: DataFrame, key: str, vec: str, label: s
     """Vote of the k nearest; with distance weights an exact match outvotes all others. Ties: smallest label."""
     near = knn_join(test, train, key, vec, k, label=label, **kw)
     if weights == "distance":
-        exact = near.groupBy("query_id").agg(F.min("distance").alias("__d"))
-        near = near.join(exact, "query_id").withColumn(
+        near = near.withColumn("__d", F.min("distance").over(Window.partitionBy("query_id"))).withColumn(
             "__w", F.when(F.col("__d") == 0, (F.col("distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("distance"))))
     else:
         near = near.withColumn("__w", F.lit(1.0))

@@ -162,8 +162,9 @@ def corr_matrix(df: DataFrame, cols, method: str = "pearson") -> DataFrame:
     cols = as_list(cols)
     df = df.select(*cols).dropna()
     if method == "spearman":
+        values = df  # ranks come from the values each time, so the plan grows with the number of columns only
         for c in cols:
-            ranks = average_ranks(df, c, "__rank")
+            ranks = average_ranks(values, c, "__rank")
             df = df.join(ranks, F.col(c) == F.col("__value")).drop("__value", c).withColumnRenamed("__rank", c)
     pairs = list(combinations_with_replacement(cols, 2))
     row = df.agg(*[F.corr(dbl(a), dbl(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])

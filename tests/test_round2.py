@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import ordered
-from ferrolite.operators import levels, profile, shape, text
+from ferrolite.functions.cols import skew_safe_lookup
+from ferrolite.operators import levels, neighbors, profile, shape, text
 from ferrolite.sources import readers, writers
 
 
@@ -63,3 +64,23 @@ def test_line_breaks_are_refused(spark, tmp_path):
         writers.write_delimited(df, str(tmp_path / "x"))
     writers.write_delimited(df, str(tmp_path / "y"), header="h", line_breaks="space")
     assert [tuple(r) for r in readers.read_delimited(spark, str(tmp_path / "y"), ["k", "v"]).collect()] == [("1", "a b")]
+
+
+def test_hot_key_is_sliced_by_its_own_size(spark):
+    left = spark.range(6000).select((F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id"))).alias("k"), F.col("id").alias("x"))
+    right = left.select("k").distinct().withColumn("y", F.col("k") * 10)
+    got = skew_safe_lookup(left, right, "k", "x", slice_rows=100)
+    assert got.count() == 6000 and got.where("y <> k * 10").count() == 0
+
+
+def test_spearman_plan_grows_with_the_columns_only(spark):
+    df = spark.range(200).select(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50)).alias(f"c{i}") for i in range(6)])
+    plan = profile.corr_matrix(df, df.columns, "spearman")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 200") <= 20
+
+
+def test_listed_classes_only(spark):
+    rows = [(1, [0.0, 1.0], "a"), (2, [0.0, 2.0], "b"), (3, [0.0, 3.0], "c")]
+    df = spark.createDataFrame(rows, "id long, v array<double>, l string")
+    got = {r[0]: tuple(r)[1:] for r in neighbors.matches_per_class(df, df.where("id <> 1"), "id", "v", "l", ["a", "c"]).collect()}
+    assert got == {1: (None, 3), 2: (None, 3), 3: (None, 3)}
