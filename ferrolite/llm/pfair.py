@@ -21,10 +21,9 @@ from functools import reduce
 from heapq import heappop, heappush
 from math import gcd
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import hash_cell, portable_hash
-from ..functions.ordered import Key, number_rows
 from .common import unpack, whole_row
 
 BLOCK_ROWS = 64
@@ -95,7 +94,13 @@ def schedule(df: DataFrame, weights: dict[str, int], id_col: str = "doc_id", sou
 
     rows = rows.withColumn("draw", portable_hash(seed, F.col("id")))
     cells = max(8, -(-sum(counts.values()) // ROWS_PER_CELL), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = number_rows(rows, [Key("draw"), Key("id")], group=["queue"], out="rank", cell=hash_cell(F.col("draw"), cells))
+    # Ranks by cells of the draw. The join asks for the windows' own partitioning, so the rows are not shuffled again for it.
+    rows = rows.withColumn("cell", hash_cell(F.col("draw"), cells))
+    before = Window.partitionBy("queue").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("queue", "cell").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("queue").alias("s_queue"), F.col("cell").alias("s_cell"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("queue", "cell").orderBy("draw", "id")))
+    placed = ranked.join(sizes, (F.col("queue") == F.col("s_queue")) & (F.col("cell") == F.col("s_cell"))).withColumn("rank", F.col("rank") - 1 + F.col("offset"))
     placed = placed.withColumn("block", F.floor(F.col("rank") / block_rows).cast("long"))
 
     # At most a phase a source, a row for each block of its period: a table of bounded size.
