@@ -120,6 +120,36 @@ def test_vectors(spark, points, monkeypatch, shard, part):
         assert vectors.audit(df, vectors.mark_near(df), every=10) == 1.0
 
 
+def lonely_pairs(n, dim, cos, seed):
+    """n unit vectors without clusters, and a partner of each at the given cosine."""
+    g = np.random.default_rng(seed)
+    x, side = g.standard_normal((2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    return x, cos * x + np.sqrt(1 - cos * cos) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dim", [32, 64])
+def test_pairs_share_a_shard_among_hundreds(dim):
+    g = np.random.default_rng(1)
+    x = g.standard_normal((20_000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c = vectors.centroids(x[4000:], 512)
+    take = vectors.overlap_for(x[:4000], c, 0.95)
+    a, b = (np.argsort(-(v @ c.T), axis=1)[:, :take] for v in lonely_pairs(2000, dim, 0.955, 2))
+    shared = np.mean([len(np.intersect1d(i, j)) > 0 for i, j in zip(a, b)])
+    assert shared >= 0.995 and take < 64, (shared, take)
+
+
+def test_vectors_with_hundreds_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 20)
+    monkeypatch.setattr(vectors, "SAMPLE", 1000)  # most vectors are not among those that the centroids were fitted to
+    a, b = lonely_pairs(3000, 32, 0.955, 3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))], "vec_id long, embedding array<double>")
+    got = {r[0]: r[1] for r in vectors.mark_near(df).select("vec_id", "n_links").collect()}
+    assert set(got.values()) <= {0, 1} and sum(got.values()) >= 0.99 * 6000, sum(got.values())
+
+
 def test_vectors_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 0.0, 0.0]), (9, []),
