@@ -4,7 +4,7 @@ toxicity       documents that the classifier rejects go
 exact dedup    of equal texts the row with the largest doc_id stays
 near dedup     of each group of near copies (five-word shingles, Jaccard similarity 0.8 and more) one row stays
 mix            all rows, laid out in the order in which sources meet their target weights
-encode         each text's byte-pair ids, with the bytes they decode to checked against the text
+encode         each text's byte-pair ids, with the bytes they decode to checked against the text, and its place in the mix; rows in that order
 """
 
 from __future__ import annotations
@@ -42,15 +42,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids, text_sha256 and round_trip (the ids decode to the text's bytes)."""
+    """doc_id, source, n_tokens, ids, text_sha256, round_trip (the ids decode to the text's bytes) and position (the row's place in the mix, from 0).
+
+    Rereading a table with several part files gives no order, so places are worked out again, and rows are laid out by them."""
     import public_tokenizers as vocabularies
 
     configure(spark)
     ranks = vocabularies.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, vocabularies.PATTERN)
+    placed = pfair.schedule(docs.select("doc_id", "source", "text"), WEIGHTS).select("position", "row.*")
+    placed = placed.repartitionByRange("position").sortWithinPartitions("position")  # before the encoder, so that bounds are sampled without it
+    coded = bpe.encode(placed, ranks, vocabularies.PATTERN)
     coded = coded.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).drop("text")
     back = bpe.decode(coded, ranks)
-    return back.select("doc_id", "source", "n_tokens", "ids", "text_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
+    return back.select("doc_id", "source", "n_tokens", "ids", "text_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"), "position")
 
 
 STAGES = [

@@ -49,6 +49,24 @@ def test_each_stage(stages, spark, sf):
     assert after.count() == len(text)
 
 
+def test_result_follows_the_mix(spark, sf, stages):
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    old = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        got = C.run(spark, sf)
+        rows = got.collect()
+        assert got.rdd.getNumPartitions() > 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    mixed = next(after for n, _, after in stages if n == "mix")
+    want = [r["id"] for r in C.pfair.schedule(mixed, C.WEIGHTS).orderBy("position").collect()]
+    assert [r["doc_id"] for r in rows] == want
+    assert [r["position"] for r in rows] == list(range(len(want)))
+
+
 def test_clean_documents_stay(stages, spark, sf):
     _, before, after = stages[0]
     labels = spark.read.parquet(f"{sf}/labels.parquet")
