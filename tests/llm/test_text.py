@@ -118,6 +118,20 @@ def test_pii_candidates_are_learnt(spark):
     assert "[PHONE]" in text and "[EMAIL]" in text and "@" not in text
 
 
+def test_pii_of_other_shapes_is_added(spark):
+    rows = [(i, f"call +1 (555) 123-{1000 + i} or mail a{i}@b.org from 10.0.{i}.4 with 4111 1111 1111 1111 now") for i in range(100)]
+    there = {200: ("write to jane.roe [at] example [dot] org today", "jane.roe [at] example [dot] org", 0), 201: ("or to jim at host dot com please", "jim at host dot com", 0),
+             202: ("ring 555-867-5309 now", "555-867-5309", 3), 203: ("ring (415) 555-2671 now", "(415) 555-2671", 3), 204: ("from 2001:db8:85a3:0:0:8a2e:370:7334 it came", "2001:db8:85a3:0:0:8a2e:370:7334", 1),
+             205: ("paid by 4012.8888.8888.1881 then", "4012.8888.8888.1881", 2), 206: ("paid by 4012/8888/8888/1881 then", "4012/8888/8888/1881", 2)}
+    refused = ["on 2024-01-15 1230 it was", "version 1.12.3 came out", "paid by 4012.8888.8888.1882 then", "order 5558675309 came", "look at example.com for it", "lodash@x and 3.14159265", "300.1.1.1 or 12:30:45:10"]
+    rows += [(i, t) for i, (t, _, _) in there.items()] + [(300 + i, t) for i, t in enumerate(refused)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = spans_of(pii.find(df, pii.fit(df, Scratch(spark, "pii"))), "spans")
+    missed = {i: got[i] for i, (t, span, rank) in there.items() if (t.index(span), rank, t.index(span) + len(span)) not in got[i]}
+    extra = {t: got[300 + i] for i, t in enumerate(refused) if got[300 + i]}
+    assert not missed and not extra, (missed, extra)
+
+
 def test_pii_without_candidates(nothing, spark):
     model = pii.fit(nothing, Scratch(spark, "pii"))
     assert not model.trees
