@@ -150,6 +150,19 @@ def test_vectors_with_hundreds_of_shards(spark, monkeypatch):
     assert set(got.values()) <= {0, 1} and sum(got.values()) >= 0.99 * 6000, sum(got.values())
 
 
+def test_vectors_react_to_their_recall(spark, monkeypatch, caplog):
+    monkeypatch.setattr(vectors, "SHARD", 20)
+    monkeypatch.setattr(vectors, "SAMPLE", 1000)
+    monkeypatch.setattr(vectors, "overlap_for", lambda *_: 2)
+    a, b = lonely_pairs(1500, 32, 0.955, 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))] + [(5000, [0.0] * 32), (5010, [float("nan")] * 32), (5020, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with caplog.at_level("INFO", logger=vectors.__name__):
+        got = vectors.mark_near(df).cache()
+    assert len([r for r in caplog.records if "recall" in r.message]) > 1
+    assert vectors.audit(df, got, every=10, block=100) >= 0.97
+
+
 def test_vectors_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 0.0, 0.0]), (9, []),
