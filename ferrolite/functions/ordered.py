@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .cols import as_list, same_keys, with_row
 
@@ -36,13 +36,11 @@ def keys_of(order) -> list[Key]:
     return [k if isinstance(k, Key) else Key(k.lstrip("-"), k.startswith("-")) for k in as_list(order)]
 
 
-def _sample(df: DataFrame, order: list[Key], size: int) -> tuple[list, int]:
-    """At most `size` random rows' sort keys in order, and the number of rows, by one job."""
-    seen = Observation()
-    keys = df.observe(seen, F.count(F.lit(1)).alias("n")).select(*[F.col(k.name).alias(f"k{i}") for i, k in enumerate(order)])
+def _sample(df: DataFrame, order: list[Key], size: int) -> list:
+    """At most `size` random rows' sort keys in order."""
+    keys = df.select(*[F.col(k.name).alias(f"k{i}") for i, k in enumerate(order)])
     some = keys.withColumn("draw", F.rand(7)).orderBy("draw").limit(size).drop("draw")
-    rows = some.sortWithinPartitions(*[Key(f"k{i}", k.desc).sort() for i, k in enumerate(order)]).collect()
-    return rows, int(seen.get["n"])
+    return some.sortWithinPartitions(*[Key(f"k{i}", k.desc).sort() for i, k in enumerate(order)]).collect()
 
 
 def cells_for(n_rows: int, spark) -> int:
@@ -57,10 +55,8 @@ def cell_count(df: DataFrame) -> int:
 
 def _bounds(df: DataFrame, order: list[Key], n: int | None) -> list:
     """Sort keys that cut the rows into about equal cells. They only steer balance: any bounds give the same result."""
-    rows, total = _sample(df, order, SAMPLE)
-    n = n or cells_for(total, df.sparkSession)
-    if n * PER_BOUND > SAMPLE and total > SAMPLE:
-        rows, _ = _sample(df, order, n * PER_BOUND)
+    n = n or cell_count(df)
+    rows = _sample(df, order, max(SAMPLE, n * PER_BOUND)) if n > 1 else []
     picked = [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
     return [r for r, before in zip(picked, [None, *picked]) if r != before]
 
