@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc
+from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc, wavelet
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -111,3 +111,12 @@ def op10(t: Tables) -> DataFrame:
     model = toxicity.fit(t.documents, t.labels, allowed=crc_mod("id", 5) != 0)
     scored = toxicity.score(t.documents.select("doc_id", held.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op11_wavelet_tokens")
+def op11(t: Tables) -> DataFrame:
+    import public_tokenizers as vocabularies
+
+    scratch = Scratch(t.spark, "wavelet")
+    manifest = wavelet.write(t.documents, f"{scratch.base}/shards", scratch, vocabularies.path("byte_bpe_50k.json"), vocabularies.PATTERN, end_id=2)
+    return wavelet.read(t.spark, manifest, ids=False)
