@@ -19,9 +19,12 @@ held in memory, and a little more while one shard is built. An empty table gives
 from __future__ import annotations
 
 import json
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from itertools import islice
 
 import numpy as np
@@ -39,25 +42,50 @@ BLOCK_BYTES = 1 << 14
 BLOCK_BITS = BLOCK_BYTES * 8
 HELD_BLOCKS = 128
 PIECES = 1 << 16
-KNOWN = 1 << 18
+KNOWN = 1 << 19
+LOW = 0x2070
 ANSWERS = 1 << 16
 MANIFEST = "part long, seq long, path string, docs long, tokens long"
+assert array("H").itemsize == 2 and array("I").itemsize == 4 and sys.byteorder == "little", "packed ids are written in the machine's own layout"
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _CACHE: dict[object, object] = {}  # of each process
 
 
+def plain_pattern(pattern: str) -> str:
+    """The pattern with \\p{L}, \\p{N}, \\s and \\S written out for code points below `LOW`, as the built-in `re` is faster but lacks them."""
+    import regex
+
+    def ranges(name: str) -> str:
+        inside = [bool(regex.match(name, chr(i))) for i in range(LOW)] + [False]
+        edges = [i for i in range(LOW + 1) if inside[i] != (inside[i - 1] if i else False)]
+        return "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(edges[::2], edges[1::2]))
+
+    out, i, listed = "", 0, False
+    while i < len(pattern):
+        name = regex.match(r"\\p\{\w+\}|\\[sS]", pattern[i:])
+        if name:
+            out += ranges(name[0]) if listed else f"[{ranges(name[0])}]"
+        elif pattern[i] == "\\":
+            raise ValueError(f"unknown class in {pattern!r}")
+        else:
+            out += pattern[i]
+            listed = pattern[i] == "[" or listed and pattern[i] != "]"
+        i += len(name[0]) if name else 1
+    return out
+
+
 class Pieces(dict):
     """Packed ids of the pieces met so far, in two generations of bounded size; a new piece goes through the library's model."""
 
     def __init__(self, made: str, kind: str):
         from tokenizers import Tokenizer
 
-        self.model, self.kind, self.older, self.to = Tokenizer.from_str(made).model, kind, {}, dict(enumerate(byte_characters()))
+        self.tokenize, self.kind, self.older, self.to = Tokenizer.from_str(made).model.tokenize, {"<u2": "H", "<u4": "I"}[kind], {}, dict(enumerate(byte_characters()))
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.to))], self.kind).tobytes()
+            ids = array(self.kind, [t.id for t in self.tokenize((piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self.to))]).tobytes()
         if len(self) >= KNOWN:
             self.older = dict(self)
             self.clear()
@@ -72,7 +100,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         with open(path, encoding="utf-8") as f:
             self.made = f.read()
-        self.pattern = pattern
+        self.pattern, self.plain = pattern, plain_pattern(pattern)
         self.size = 1 + max(json.loads(self.made)["model"]["vocab"].values())
         self.bits = max(1, (self.size - 1).bit_length())
         self.kind = "<u2" if self.bits <= 16 else "<u4"
@@ -80,13 +108,20 @@ class Encoder:
     def __call__(self, texts):
         import regex
 
-        find, key = regex.compile(self.pattern).finditer, f"pieces {zlib.crc32(self.made.encode())}"
+        any_text, plain_text, high = regex.compile(self.pattern), re.compile(self.plain), re.compile(f"[^\\x00-\\u{LOW - 1:04x}]")
+        key = f"pieces {zlib.crc32(self.made.encode())}"
         known = _CACHE.get(key) or _CACHE.setdefault(key, Pieces(self.made, self.kind))
+        ids_of = known.__getitem__
         for text in texts:
-            out, matches = [], find(text)
-            while part := b"".join([known[m[0]] for m in islice(matches, PIECES)]):
-                out.append(part)
-            yield np.frombuffer(b"".join(out), self.kind)
+            split = any_text if high.search(text) else plain_text
+            if len(text) <= PIECES:
+                data = b"".join(map(ids_of, split.findall(text)))
+            else:
+                out, matches = [], split.finditer(text)
+                while part := b"".join([ids_of(m[0]) for m in islice(matches, PIECES)]):
+                    out.append(part)
+                data = b"".join(out)
+            yield np.frombuffer(data, self.kind)
 
 
 def planes(ids: np.ndarray, bits: int):
