@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc, wavelet
+from . import bpe, exact, merkle, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc, wavelet
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -120,3 +120,54 @@ def op11(t: Tables) -> DataFrame:
     scratch = Scratch(t.spark, "wavelet")
     manifest = wavelet.write(t.documents, f"{scratch.base}/shards", scratch, vocabularies.path("byte_bpe_50k.json"), vocabularies.PATTERN, end_id=2)
     return wavelet.read(t.spark, manifest, ids=False)
+
+
+def document_leaves(docs: DataFrame) -> DataFrame:
+    """Leaves of the Merkle manifest: (grp, id, leaf, tampered); a tampered row's n_chars is one more."""
+    own = [merkle.field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    more = F.coalesce(F.concat(F.octet_length((F.col("n_chars") + 1).cast("string")).cast("string"), F.lit(":"), (F.col("n_chars") + 1).cast("string")), F.lit("-"))
+    tampered = F.when(crc_mod("doc_id", 7) == 0, merkle.leaf_hash(*own[:3], more, own[4]))
+    return docs.select(F.col("lang").cast("string").alias("grp"), F.col("doc_id").cast("long").alias("id"), merkle.leaf_hash(*own).alias("leaf"), tampered.alias("tampered"))
+
+
+@query("op12_merkle_manifest", """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, lang, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+               || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head, n_chars, coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail FROM documents),
+    leaves AS (
+        SELECT doc_id, lang, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+               sha256(head || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS tampered FROM d),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+    sub(lang, h, k, digest, n) AS (
+        SELECT lang, 0, i, leaf, n FROM placed
+        UNION ALL
+        SELECT lang, h + 1, k // 2, sha256(string_agg(digest, '' ORDER BY k)), (any_value(n) + 1) // 2 FROM sub WHERE n > 1 GROUP BY lang, h, k // 2),
+    subroots AS (SELECT lang, h AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j, count(*) OVER () AS m FROM sub WHERE n = 1),
+    top(h, k, digest, m) AS (
+        SELECT 0, j, subroot, m FROM subroots
+        UNION ALL
+        SELECT h + 1, k // 2, sha256(string_agg(digest, '' ORDER BY k)), (any_value(m) + 1) // 2 FROM top WHERE m > 1 GROUP BY h, k // 2),
+    crc_rows AS (
+        SELECT doc_id, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda p: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(p + 1 AS BIGINT), 1)) AS BIGINT))),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc FROM documents),
+    crcs AS (SELECT DISTINCT doc_id, xor(crc, CAST(4294967295 AS BIGINT)) AS crc FROM crc_rows),
+    steps AS (
+        SELECT p.lang, p.i, s.h AS level, s.digest, s.k % 2 = 0 AS is_left FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+        JOIN sub s ON s.lang IS NOT DISTINCT FROM p.lang AND s.h < r.height AND s.k = xor(p.i >> s.h, 1)
+        UNION ALL
+        SELECT p.lang, p.i, r.height + t.h, t.digest, t.k % 2 = 0 FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+        JOIN top t ON t.m > 1 AND t.k = xor(r.j >> t.h, 1)),
+    depth AS (SELECT r.*, r.height + (SELECT max(h) FROM top) AS levels FROM subroots r),
+    proofs AS (SELECT lang, i, string_agg(digest, '' ORDER BY level) AS proof, map(list(level ORDER BY level), list(digest ORDER BY level)) AS at, map(list(level ORDER BY level), list(is_left ORDER BY level)) AS side FROM steps GROUP BY lang, i),
+    folds(lang, i, level, levels, digest) AS (
+        SELECT p.lang, p.i, 0, r.levels, CASE WHEN c.crc % 7 = 0 THEN p.tampered ELSE p.leaf END FROM placed p JOIN depth r ON p.lang IS NOT DISTINCT FROM r.lang LEFT JOIN crcs c ON c.doc_id = p.doc_id
+        UNION ALL
+        SELECT f.lang, f.i, f.level + 1, f.levels, sha256(CASE WHEN s.digest IS NULL THEN f.digest WHEN s.is_left THEN s.digest || f.digest ELSE f.digest || s.digest END)
+        FROM folds f LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.i = f.i AND s.level = f.level WHERE f.level < f.levels)
+    SELECT p.doc_id, p.leaf, r.subroot, t.digest AS root, sha256(coalesce(q.proof, '')) AS proof_sha256, f.digest AS folded_root, f.digest = t.digest AS verified
+    FROM placed p JOIN depth r ON p.lang IS NOT DISTINCT FROM r.lang JOIN top t ON t.m = 1
+    LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.i = p.i
+    JOIN folds f ON f.lang IS NOT DISTINCT FROM p.lang AND f.i = p.i AND f.level = f.levels""")
+def op12(t: Tables) -> DataFrame:
+    proved = merkle.prove(document_leaves(t.documents), Scratch(t.spark, "merkle"))
+    return proved.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
