@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Entry, Tables
-from . import bpe, exact, merkle, pfair, pii, repeats, rules, setsketch, toxicity, vectors, warc, wavelet
+from . import bpe, exact, merkle, pfair, pii, repeats, rules, setsketch, toxicity, trie, vectors, warc, wavelet
 from .common import Scratch
 
 ENTRIES: dict[str, Entry] = {}
@@ -171,3 +171,27 @@ def document_leaves(docs: DataFrame) -> DataFrame:
 def op12(t: Tables) -> DataFrame:
     proved = merkle.prove(document_leaves(t.documents), Scratch(t.spark, "merkle"))
     return proved.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op13_conversation_trie", """
+    WITH o AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+               FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM o),
+    crcs AS (SELECT c, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(s)), lambda p: CAST(ascii(substr(s, CAST(p + 1 AS BIGINT), 1)) AS BIGINT))),
+                   lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+                   CAST(4294967295 AS BIGINT)) % 4 AS h FROM ids),
+    turns AS (SELECT k.c, 0 AS part, o.pos, o.role, o.text FROM crcs k JOIN o ON o.c = k.c - k.c % 20 AND o.pos < k.h
+              UNION ALL SELECT k.c, 1, o.pos, o.role, o.text FROM crcs k JOIN o ON o.c = k.c AND o.pos >= k.h),
+    marked AS (SELECT c, part, pos, sha256(length(role) || ':' || role || text) AS id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turns),
+    seqs AS (SELECT k.c, coalesce(list(m.id ORDER BY part, pos) FILTER (m.id IS NOT NULL), []) AS seq, coalesce(list(m.words ORDER BY part, pos) FILTER (m.id IS NOT NULL), []) AS w
+             FROM crcs k LEFT JOIN marked m ON m.c = k.c GROUP BY k.c),
+    prefixes AS (SELECT c, d, seq[1:d] AS p, len(seq) = d AS is_end, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS last FROM seqs, unnest(range(len(seq) + 1)) AS u(d)),
+    nodes AS (SELECT p, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(last) AS last,
+                     sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256 FROM prefixes GROUP BY p),
+    kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+    up AS (SELECT p[1:a] AS p, sum((n_convs - 1) * last) AS saved, count(*) FILTER (NOT EXISTS (SELECT 1 FROM kids k WHERE k.p = nodes.p)) AS leaves FROM nodes, unnest(range(depth + 1)) AS u(a) GROUP BY 1)
+    SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN q.conv_id END AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, CAST(up.leaves AS BIGINT) AS n_leaves,
+           CAST(up.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN up ON up.p = n.p LEFT JOIN kids k ON k.p = n.p LEFT JOIN nodes q ON n.depth > 0 AND q.p = n.p[1:n.depth - 1]""")
+def op13(t: Tables) -> DataFrame:
+    return trie.conversation_trie(t.conversations, Scratch(t.spark, "trie"))
