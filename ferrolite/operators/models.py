@@ -45,6 +45,12 @@ def fit(kind: str, df: DataFrame, features: str = "features", label: str = "labe
     return estimator(kind, features, label, **params).fit(df)
 
 
+def fit_one_vs_rest(kind: str, df: DataFrame, features: str = "features", label: str = "label", parallelism: int = 4, **params) -> C.OneVsRestModel:
+    """k binary fits side by side on one cached frame, one for each class 0 .. k - 1; the class with the largest margin wins, the lowest of equal ones."""
+    require(df, features, label)
+    return C.OneVsRest(classifier=estimator(kind, features, label, **params), featuresCol=features, labelCol=label, parallelism=parallelism).fit(df)
+
+
 def score(df: DataFrame, model) -> DataFrame:
     return model.transform(df)
 

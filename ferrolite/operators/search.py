@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,6 +22,7 @@ from ..functions.ordered import number_rows
 from ..functions.quantiles import quantile_row, quantiles
 from . import space as K
 from .models import CLASSIFIERS, cross_val_score, estimator, train_any, with_params
+from .stages import CURVES, CurveEvaluator
 
 TRIAL_SCHEMA = "study string, number long, iteration int, loss double, params map<string,string>, state string, train_time double, source string"
 
@@ -196,6 +198,9 @@ def _normal_cdf(z: Column) -> Column:
 # ---------------------------------------------------------------- objectives and loops
 
 def metric_evaluator(metric: str, label: str = "label") -> Evaluator:
+    """Spark's evaluators by metric name; auc, auc_pr, ks and log_loss are the exact curve metrics."""
+    if metric in (*CURVES, "log_loss"):
+        return CurveEvaluator(metricName=metric, labelCol=label)
     if metric in ("areaUnderROC", "areaUnderPR"):
         return BinaryClassificationEvaluator(labelCol=label, metricName=metric)
     if metric in ("rmse", "mse", "mae", "r2"):
@@ -204,8 +209,8 @@ def metric_evaluator(metric: str, label: str = "label") -> Evaluator:
 
 
 def loss_of(evaluator: Evaluator, value: float) -> float:
-    """Lower is better, whatever the metric."""
-    return -value if evaluator.isLargerBetter() else value
+    """Lower is better, whatever the metric; a value that is none is worse than all."""
+    return math.inf if math.isnan(value) else -value if evaluator.isLargerBetter() else value
 
 
 def model_from_params(params: dict, kind: str | None = None, features: str = "features", label: str = "label") -> Estimator:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
+import uuid
+
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
@@ -104,28 +108,62 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 def predictions_by(df: DataFrame, groups, prediction: str) -> DataFrame:
     """Registered predictions summed up per group with SQL."""
-    groups = as_list(groups)
-    view = register(df, "scored_rows") and "scored_rows"
-    keys = ", ".join(groups)
-    return df.sparkSession.sql(
-        f"SELECT {keys}, count(*) AS n, round(avg({prediction}), 6) AS mean_prediction FROM {view} GROUP BY {keys}")
+    keys, view = ", ".join(as_list(groups)), f"scored_{uuid.uuid4().hex}"
+    register(df, view)
+    try:  # the plan holds the view's own plan, so the name can go at once
+        return df.sparkSession.sql(f"SELECT {keys}, count(*) AS n, round(avg({prediction}), 6) AS mean_prediction FROM {view} GROUP BY {keys}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 class ColumnStage(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """A user function Column -> Column as a pipeline stage; a pandas_udf fits the same slot."""
+    """A user function as a pipeline stage.
+
+    `function` is SQL text in which __IN__ stands for the input column, or `module:name` of a function Column -> Column (a pandas_udf fits as
+    well) that can be imported; either is saved with the stage. Any other callable works too, but such a stage refuses to be saved.
+    """
+
+    function = Param(Params._dummy(), "function", "SQL text over __IN__, or module:name", typeConverter=TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCol=None, outputCol=None, fn=None):
+    def __init__(self, inputCol=None, outputCol=None, function=None, fn=None):
         super().__init__()
         self.fn = fn
-        self._set(inputCol=inputCol, outputCol=outputCol)
+        if fn is not None and function is None:
+            name = f"{getattr(fn, '__module__', None)}:{getattr(fn, '__qualname__', None) or getattr(fn, '__name__', None)}"
+            function = name if _imported(name) is fn else None
+        self._set(**{k: v for k, v in {"inputCol": inputCol, "outputCol": outputCol, "function": function}.items() if v is not None})
+
+    def write(self):
+        if not self.isDefined(self.function):
+            raise ValueError("only SQL text or a function that can be imported by name can be saved")
+        return super().write()
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.getOutputCol(), self.fn(F.col(self.getInputCol())))
+        column = F.col(self.getInputCol())
+        text = self.getOrDefault(self.function) if self.isDefined(self.function) else None
+        fn = self.fn or _imported(text)
+        made = fn(column) if fn is not None else F.expr(text.replace("__IN__", "`" + self.getInputCol().replace("`", "``") + "`"))
+        return df.withColumn(self.getOutputCol(), made)
+
+
+def _imported(name: str | None):
+    """The object that `module:name` stands for; None if it is none."""
+    module, colon, path = (name or "").partition(":")
+    if not colon or not all(p.isidentifier() for p in [*module.split("."), *path.split(".")]):
+        return None
+    try:
+        found = importlib.import_module(module)
+        for part in path.split("."):
+            found = getattr(found, part)
+    except (ImportError, AttributeError):
+        return None
+    return found
 
 
 def udf_stage(in_col: str, out_col: str, fn) -> ColumnStage:
-    return ColumnStage(inputCol=in_col, outputCol=out_col, fn=fn)
+    """`fn`: SQL text over __IN__, `module:name`, or a function."""
+    return ColumnStage(inputCol=in_col, outputCol=out_col, **({"function": fn} if isinstance(fn, str) else {"fn": fn}))
 
 
 def pick_probability(df: DataFrame, i: int, vec: str = "probability", out: str = "p") -> DataFrame:
