@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-import logging
 import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -24,9 +24,7 @@ from . import space as K
 from .models import CLASSIFIERS, cross_val_score, estimator, train_any, with_params
 from .stages import CURVES, CurveEvaluator
 
-TRIAL_SCHEMA = "study string, number long, iteration int, loss double, params map<string,string>, state string, train_time double, source string"
-
-log = logging.getLogger(__name__)
+TRIAL_SCHEMA = "study string, number long, iteration int, loss double, params map<string,string>, state string, train_time double, source string, error string, attrs map<string,string>"
 
 
 # ---------------------------------------------------------------- history
@@ -41,10 +39,11 @@ def read_history(spark: SparkSession, path: str, study: str | None = None) -> Da
     return df.where(F.col("study") == study) if study else df
 
 
-def trials_dataframe(history: DataFrame, study: str | None = None, attrs=()) -> DataFrame:
-    """History as a flat table: number, value, state and the wanted parameters."""
+def trials_dataframe(history: DataFrame, study: str | None = None, attrs=(), user_attrs=()) -> DataFrame:
+    """History as a flat table: number, value, state, the wanted parameters and the wanted attributes that objectives have set."""
     df = history.where(F.col("study") == study) if study else history
-    return df.select("study", "number", F.col("loss").alias("value"), "state", *[F.try_element_at("params", F.lit(a)).alias(f"params_{a}") for a in as_list(attrs)])
+    return df.select("study", "number", F.col("loss").alias("value"), "state", *[F.try_element_at("params", F.lit(a)).alias(f"params_{a}") for a in as_list(attrs)],
+                     *[F.try_element_at("attrs", F.lit(a)).alias(f"user_attrs_{a}") for a in as_list(user_attrs)])
 
 
 def best_trial(history: DataFrame, direction: str = "minimize", group=()) -> DataFrame:
@@ -58,7 +57,7 @@ def best_trial(history: DataFrame, direction: str = "minimize", group=()) -> Dat
 
 def best_params(history: DataFrame, direction: str = "minimize") -> dict:
     row = best_trial(history, direction).first()
-    return dict(row["params"]) if row else {}
+    return dict(row["params"] or {}) if row else {}
 
 
 def compare_searches(history: DataFrame, study: str = "study") -> DataFrame:
@@ -227,6 +226,8 @@ def _as_param(est: Estimator, name: str, value):
     """Numbers in the type of the parameter's default (a draw of 5.0 serves an int parameter)."""
     p = est.getParam(name)
     default = est.getOrDefault(p) if est.isDefined(p) else None
+    if isinstance(value, str) and isinstance(default, (int, float)) and not isinstance(default, bool):
+        value = float(value)  # as the history keeps it
     return type(default)(value) if isinstance(default, (int, float)) and not isinstance(default, bool) else value
 
 
@@ -241,16 +242,23 @@ def validation_objective(train: DataFrame, valid: DataFrame, evaluator: Evaluato
 
 
 def tune(spark: SparkSession, objective, spec: dict, path: str, study: str = "study", algo: str = "tpe", max_evals: int = 20, timeout: float | None = None,
-         n_candidates: int = 24, n_startup: int = 5, seed: int = 1, parallelism: int = 1) -> DataFrame:
-    """suggest -> fit -> evaluate -> append, until the count or the time is used up. Continues a stored study."""
+         n_candidates: int = 24, n_startup: int = 5, seed: int = 1, parallelism: int = 1, pruner=None, trial_secs: float | None = None) -> DataFrame:
+    """suggest -> fit -> evaluate -> append, until the count or the time is used up. Continues a stored study.
+
+    objective(params) or objective(params, trial); a trial takes step reports, by which `pruner` may end it, and user attributes. Jobs of a trial that runs
+    longer than `trial_secs` are cancelled. A failed trial's reason is kept in the history.
+    """
+    from .trials import Trial, run_trial
+
     done = _next_number(spark, path, study)
     start, end = time.time(), done + max_evals
     while done < end and (timeout is None or time.time() - start < timeout):
         batch = min(parallelism, end - done)
         chosen = [_suggest(spark, path, study, spec, algo, done + i, n_candidates, n_startup, seed) for i in range(batch)]
+        todo = [Trial(spark, path, study, done + i, p, pruner) for i, p in enumerate(chosen)]
         with ThreadPoolExecutor(batch) as pool:  # each trial is a set of Spark jobs
-            results = list(pool.map(lambda p: _run_trial(objective, p), chosen))
-        rows = [(study, done + i, done + i, loss, {k: str(v) for k, v in p.items()}, state, secs, algo) for i, (p, (loss, state, secs)) in enumerate(zip(chosen, results))]
+            results = list(pool.map(lambda trial: run_trial(objective, trial, trial_secs), todo))
+        rows = [(study, t.number, t.number, loss, {k: str(v) for k, v in t.params.items()}, state, secs, algo, error, attrs) for t, (loss, state, secs, error, attrs) in zip(todo, results)]
         append_history(spark.createDataFrame(rows, TRIAL_SCHEMA), path)
         done += batch
     return read_history(spark, path, study)
@@ -277,15 +285,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _run_trial(objective, params: dict):
-    t = time.time()
-    try:
-        return float(objective(params)), "COMPLETE", time.time() - t
-    except Exception:  # a failed setting is part of the history, its reason of the log
-        log.exception("trial failed with %s", params)
-        return None, "FAIL", time.time() - t
-
-
 def _suggest(spark, path, study, spec, algo, number, n_candidates, n_startup, seed) -> dict:
     if algo == "random" or number < n_startup:
         return K.params_of(K.sample_space(spark, spec, 1, seed, start=number).first().asDict(), spec)
@@ -321,7 +320,7 @@ def cross_validate_grid(df: DataFrame, est: Estimator, grid: list[dict], evaluat
 
         jobs = [(i, fold) for i in range(len(grid)) for fold in range(k)]
         with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(run, jobs))
+            scores = list(pool.map(inheritable_thread_target(df.sparkSession)(run), jobs))
         metrics = [sum(s for (i, _), s in zip(jobs, scores) if i == g) / k for g in range(len(grid))]
         best = min(range(len(grid)), key=lambda i: (loss_of(evaluator, metrics[i]), i))
         return CvResult(grid, metrics, evaluator.isLargerBetter(), est.copy(grid[best]).fit(rows))
@@ -346,7 +345,7 @@ def tune_on_validation(train: DataFrame, valid: DataFrame, settings: list[tuple[
             return model, float(evaluator.evaluate(model.transform(valid)))
 
         with ThreadPoolExecutor(parallelism) as pool:
-            done = list(pool.map(run, range(len(settings))))
+            done = list(pool.map(inheritable_thread_target(train.sparkSession)(run), range(len(settings))))
     finally:
         train.unpersist(), valid.unpersist()
     best = min(range(len(done)), key=lambda i: (loss_of(evaluator, done[i][1]), i))
