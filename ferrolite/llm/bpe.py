@@ -21,18 +21,19 @@ import json
 import sys
 from array import array
 from itertools import islice
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import small_batches
+from .common import held, small_batches
 
 CHUNK = 1 << 19
 PIECES = 1 << 16
 KNOWN = 1 << 18
 assert array("I").itemsize == 4 and sys.byteorder == "little", "packed ids are written in the machine's own layout"
-_CACHE: dict[object, object] = {}  # of each process
+LONG = 64  # code points; longer pieces are not remembered
 
 
 def byte_characters() -> list[str]:
@@ -84,10 +85,10 @@ def _tokenizer(made: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
-    key = hash(made)
-    if key not in _CACHE:
-        _CACHE[key] = Tokenizer.from_str(made)
-    return _CACHE[key]
+    kept, key = held("bpe"), f"model {crc32(made.encode())}"
+    if key not in kept:
+        kept[key] = Tokenizer.from_str(made)
+    return kept[key]
 
 
 def _chunks(texts: list[str]):
@@ -116,7 +117,7 @@ class Encoder:
         import regex
 
         find, model = regex.compile(self.pattern).finditer, _tokenizer(self.made).model
-        known = _CACHE.setdefault(f"pieces {hash(self.made)}", {})
+        known = held("bpe").setdefault(f"pieces {crc32(self.made.encode())}", {})
         to = dict(enumerate(byte_characters()))
         for text in texts:
             out, matches = [], find(text)
@@ -128,6 +129,9 @@ class Encoder:
                     for p in fresh:
                         known[p] = array("I", [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(to))]).tobytes()
                 out += [known[p] for p in pieces]
+                for p in fresh:
+                    if len(p) > LONG:
+                        del known[p]
             yield b"".join(out)
 
     def with_offsets(self, texts: list[str]):
@@ -137,11 +141,11 @@ class Encoder:
                 yield np.array(e.ids, np.uint32), np.array(e.offsets, np.int32).reshape(-1, 2)
 
 
-def _map(df: DataFrame, source: str, make, added: list[T.StructField]) -> DataFrame:
+def _map(df: DataFrame, source: str, make, added: list[T.StructField], drop_source: bool = False) -> DataFrame:
     """Replace or append columns computed from one column, batch by batch."""
     small_batches(df.sparkSession)
     names = [f.name for f in added]
-    keep = [f for f in df.schema.fields if f.name not in names]
+    keep = [f for f in df.schema.fields if f.name not in names and not (drop_source and f.name == source)]
     if source in names:
         raise ValueError(f"{source} would be overwritten")
 
@@ -199,6 +203,20 @@ def decode(df: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
     return _map(df, ids_col, make, [T.StructField("decoded", T.BinaryType())])
 
 
+def round_trip(df: DataFrame, ranks: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """The other columns, n_tokens, ids and decoded: encode() and decode() in one pass of one worker, which hands the text no further."""
+    tokens = read_ranks(ranks)
+    encoder, (flat, ends) = Encoder(tokenizer_json(tokens, pattern), pattern), byte_table(tokens)
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]
+
+    def make(column):
+        table, at = np.frombuffer(flat, np.uint8), np.frombuffer(ends, "<u4")
+        ids = list(encoder.packed(x.as_py() or "" for x in column))
+        return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([join_bytes(np.frombuffer(x, "<u4"), table, at) for x in ids], pa.binary())]
+
+    return _map(df.withColumn(text_col, F.col(text_col).cast("string")), text_col, make, added, drop_source=True)
+
+
 def as_text(decoded: Column) -> Column:
     """Decoded bytes as a string; bytes that are no UTF-8 become U+FFFD."""
     return F.make_valid_utf8(decoded.cast("string"))

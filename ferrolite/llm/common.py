@@ -13,6 +13,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def held(owner: str) -> dict:
+    """What a Python worker keeps between tasks, for one owner at a time.
+
+    Workers are reused, and task functions travel by value, so a module's globals are made anew in each task; another owner's tables go.
+    """
+    import sys
+    import types
+
+    box = sys.modules.setdefault("_worker_tables", types.ModuleType("_worker_tables")).__dict__
+    if box.get("owner") != owner:
+        box.update(owner=owner, tables={})
+    return box["tables"]
+
+
 class Scratch:
     """Tables of one run in the shared folder: computed once, reread by any executor, small ones dropped early."""
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.ordered import running
 from .bpe import byte_characters
-from .common import Scratch, text_of
+from .common import Scratch, held, text_of
 
 MAGIC = b"WVMATRX1"
 SHARD_TOKENS = 1 << 20
@@ -48,7 +48,6 @@ ANSWERS = 1 << 16
 MANIFEST = "part long, seq long, path string, docs long, tokens long"
 assert array("H").itemsize == 2 and array("I").itemsize == 4 and sys.byteorder == "little", "packed ids are written in the machine's own layout"
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_CACHE: dict[object, object] = {}  # of each process
 
 
 def plain_pattern(pattern: str) -> str:
@@ -110,7 +109,10 @@ class Encoder:
 
         any_text, plain_text, high = regex.compile(self.pattern), re.compile(self.plain), re.compile(f"[^\\x00-\\u{LOW - 1:04x}]")
         key = f"pieces {zlib.crc32(self.made.encode())}"
-        known = _CACHE.get(key) or _CACHE.setdefault(key, Pieces(self.made, self.kind))
+        tables = held("wavelet")
+        if key not in tables:
+            tables[key] = Pieces(self.made, self.kind)
+        known = tables[key]
         ids_of = known.__getitem__
         for text in texts:
             split = any_text if high.search(text) else plain_text
