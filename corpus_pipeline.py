@@ -51,10 +51,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ranks = vocabularies.path("byte_bpe_50k.tiktoken")
     placed = pfair.schedule(docs.select("doc_id", "source", "text"), WEIGHTS).select("position", "row.*")
     placed = placed.repartitionByRange("position").sortWithinPartitions("position")  # before the encoder, so that bounds are sampled without it
-    coded = bpe.encode(placed, ranks, vocabularies.PATTERN)
-    coded = coded.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).drop("text")
-    back = bpe.decode(coded, ranks)
-    return back.select("doc_id", "source", "n_tokens", "ids", "text_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"), "position")
+    coded = bpe.round_trip(placed.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), ranks, vocabularies.PATTERN)
+    return coded.select("doc_id", "source", "n_tokens", "ids", "text_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"), "position")
 
 
 STAGES = [
