@@ -13,7 +13,7 @@ The filter of repeated anchors has a bounded size; if it overflows, more windows
 Windows are compared by 64-bit hashes.
 
 Null texts count as empty and nothing is removed from them or from texts shorter than a window. Null ids rank after all
-others. Rows that repeat an id do not repeat each other. Extra columns are not looked at.
+others. Rows that repeat an id do not repeat each other; they are told apart by their texts' hashes (60 bits of SHA-256, the whole of it for copies). Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from .words import shingles, word_hashes
 ANCHOR = 5
 FILTER_BYTES = 64 << 20
 NO_ID = (1 << 63) - 1
-TAGS = 1 << 15
 
 
 def winnow(grams: np.ndarray, stretch: int) -> np.ndarray:
@@ -64,7 +63,7 @@ def _anchors(window: int):
 
 
 def _windows(window: int, shared, width: int):
-    """Task function: (id, place, key) of every window around an anchor that the filter knows. place holds tag and first word."""
+    """Task function: (id, tag, place, key) of every window around an anchor that the filter knows. place is the first word."""
 
     def rows(batches):
         bits = [np.frombuffer(x, np.uint8) for x in shared.value]
@@ -93,10 +92,10 @@ def _windows(window: int, shared, width: int):
                         p = np.empty(0, np.int64)
                     sizes.append(len(p))
                     if len(p):
-                        places.append(p + (int(tags[i + k]) << 32))
+                        places.append(p)
                         keys.append(shingles(words, window)[p])
                 if places:
-                    yield pa.record_batch({"id": np.repeat(ids[i : i + len(sizes)], sizes), "place": np.concatenate(places), "key": np.concatenate(keys).view(np.int64)})
+                    yield pa.record_batch({"id": np.repeat(ids[i : i + len(sizes)], sizes), "tag": np.repeat(tags[i : i + len(sizes)], sizes), "place": np.concatenate(places), "key": np.concatenate(keys).view(np.int64)})
 
     return rows
 
@@ -121,7 +120,7 @@ def _cut(window: int):
                 if copy and n >= window:
                     kept, gone = [], [(0, n)]
                 elif starts.is_valid and n:
-                    go = covered(np.unique(starts.values.to_numpy() & 0xFFFFFFFF), n, window)
+                    go = covered(np.unique(starts.values.to_numpy()), n, window)
                     edge = np.flatnonzero(np.diff(np.concatenate(([False], go, [False])).astype(np.int8)))
                     kept, gone = [w for w, g in zip(words, go) if not g], list(zip(edge[::2].tolist(), edge[1::2].tolist()))
                 else:
@@ -144,18 +143,19 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     scratch, sc = Scratch(df.sparkSession, "repeats"), df.sparkSession.sparkContext
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text"),
-                     F.sha2(body.cast("binary"), 256).alias("sha"), F.pmod(F.xxhash64(body), F.lit(TAGS)).alias("tag"))
+                     F.sha2(body.cast("binary"), 256).alias("sha"))
+    docs = docs.withColumn("tag", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
     # Equal texts: which rows are not the first of their class.
-    slim = scratch.save(docs.select("id", "sha", "tag"))
+    slim = scratch.save(docs.select("id", "sha"))
     blocks = blocks_for(slim.count())
     classes = scratch.save(slim.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").withColumnRenamed("sha", "c_sha"))
-    copies = scratch.save(merged(slim, classes, F.col("sha") == F.col("c_sha"), "inner").where("id > first").select(F.col("id").alias("c_id"), F.col("tag").alias("c_tag")).distinct())
+    copies = scratch.save(merged(slim, classes, F.col("sha") == F.col("c_sha"), "inner").where("id > first").drop("c_sha").select(F.col("id").alias("c_id"), F.col("sha").alias("c_sha")).distinct())
     copy_bits = scratch.save(present(copies, F.col("c_id"), blocks))
     asked = ask(docs, F.col("id"), copy_bits, blocks, "perhaps_copy")
-    same = (F.col("id") == F.col("c_id")) & (F.col("tag") == F.col("c_tag"))
+    same = (F.col("id") == F.col("c_id")) & (F.col("sha") == F.col("c_sha"))
     some = merged(asked.where("perhaps_copy"), copies, same, "left")
     marked = (asked.where("NOT perhaps_copy").withColumn("copy", F.lit(False)).drop("perhaps_copy")
-              .unionByName(some.withColumn("copy", F.col("c_id").isNotNull()).drop("perhaps_copy", "c_id", "c_tag")))
+              .unionByName(some.withColumn("copy", F.col("c_id").isNotNull()).drop("perhaps_copy", "c_id", "c_sha")))
     firsts = marked.where("NOT copy")
 
     # Seeds: anchors of two documents and more, as a filter.
@@ -174,11 +174,11 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     filter_ = sc.broadcast([bytes(x) for x in halves])
 
     # Extension: windows around seeds, and the smallest id that holds each.
-    windows = scratch.save(firsts.select("id", "tag", "text").mapInArrow(_windows(window, filter_, width), "id long, place long, key long"))
+    windows = scratch.save(firsts.select("id", "tag", "text").mapInArrow(_windows(window, filter_, width), "id long, tag long, place long, key long"))
     first = windows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select(F.col("key").alias("k2"), "first")
     first = scratch.save(first)
     gone = merged(windows, first, F.col("key") == F.col("k2"), "inner").where("id > first")
-    spans = gone.groupBy(F.col("id").alias("s_id"), F.shiftright("place", 32).alias("s_tag")).agg(F.collect_list("place").alias("starts"))
+    spans = gone.groupBy(F.col("id").alias("s_id"), F.col("tag").alias("s_tag")).agg(F.collect_list("place").alias("starts"))
     spans = scratch.save(spans)
     scratch.drop(windows, first, shared)
 

@@ -85,6 +85,17 @@ def test_repeats_spans_and_odd_rows(spark, clashing, nothing):
     assert R.cut_repeats(nothing).count() == 0 and R.cut_repeats(clashing).count() == 5
 
 
+def test_repeats_of_rows_without_or_with_one_id(spark):
+    """Null ids, and rows that share an id, are cut each by its own text."""
+    rows = [(i, f"head{i} " + " ".join(f"w{i}x{k}" for k in range(20))) for i in range(60)]
+    rows += [(None, t) for _, t in rows]  # copies
+    rows += [(None, " ".join(f"own{i}x{k}" for k in range(15))) for i in range(3000)]
+    rows += [(500, "a b c " + rows[i][1] + " z") if i < 20 else (500, " ".join(f"five{i}x{k}" for k in range(15))) for i in range(400)]
+    got = R.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    want = {(None, 21, 21): 60, (None, 15, 0): 3000, (500, 25, 21): 20, (500, 15, 0): 380} | {(i, 21, 0): 1 for i in range(60)}
+    assert {tuple(r)[:3]: r["count"] for r in got} == want
+
+
 def test_components(spark):
     chain = [(i + 1, i) for i in range(40)] + [(100, 200), (200, 300), (7, 7)]
     got = components.components(spark.createDataFrame(chain, "a long, b long"), Scratch(spark, "t"))
