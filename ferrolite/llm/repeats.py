@@ -144,10 +144,14 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text"),
                      F.sha2(body.cast("binary"), 256).alias("sha"))
-    docs = docs.withColumn("tag", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
     # Equal texts: which rows are not the first of their class.
     slim = scratch.save(docs.select("id", "sha"))
     blocks = blocks_for(slim.count())
+    # Only rows that may share their id need a tag to tell them apart; the others' zeros cost nothing in shuffles.
+    several = scratch.save(slim.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"))
+    id_blocks = blocks_for(several.count())
+    docs = ask(docs, F.col("id"), scratch.save(present(several, F.col("id"), id_blocks)), id_blocks, "perhaps_several")
+    docs = docs.withColumn("tag", F.when(F.col("perhaps_several"), F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")).otherwise(F.lit(0).cast("long"))).drop("perhaps_several")
     classes = scratch.save(slim.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").withColumnRenamed("sha", "c_sha"))
     copies = scratch.save(merged(slim, classes, F.col("sha") == F.col("c_sha"), "inner").where("id > first").drop("c_sha").select(F.col("id").alias("c_id"), F.col("sha").alias("c_sha")).distinct())
     copy_bits = scratch.save(present(copies, F.col("c_id"), blocks))
