@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -203,3 +204,35 @@ def test_rules_are_few_and_readable(judged):
     docs, labels = judged
     model = rules.fit(docs, labels)
     assert 0 < len(model.rules) <= 60 and all(" if " in x for x in model.describe())
+
+
+def test_personal_data_of_a_text_full_of_it(spark):
+    """Thousands of spans in one text: places, labels, stretches around and redaction as Python finds them, over several runs and pieces."""
+    text = " ".join(f"é{'x' * (i % 7)} a{i}@b{i}.org, 10.0.{i % 256}.{i % 300} {i % 90 + 10},{i % 90 + 10}" for i in range(1000))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    found = pii.find(docs, pii.Model({}, {}))
+    mails = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    hosts = [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", text) if int(m.group().rsplit(".", 1)[1]) <= 255]
+    got = {row["doc_id"]: row for row in found.select("doc_id", "base", pii.redact(F.col("text"), F.col("spans")).alias("clean")).collect()}
+    assert [tuple(s) for s in got[1]["base"]] == sorted(mails + hosts) and got[2]["base"] == got[3]["base"] == [] and got[2]["clean"] == got[3]["clean"] == ""
+    clean, at = [], 0
+    for start, rank, end in sorted(mails + hosts):
+        clean += [text[at:start], ("[EMAIL]", "[IP]")[rank]]
+        at = end
+    assert got[1]["clean"] == "".join(clean) + text[at:]
+    rows = pii.judged(pii.candidates(pii.base_spans(docs.where("doc_id = 1")))).select("cand").first()[0]
+    assert {(r["start"], r["rank"]) for r in rows if r["y"] == 1.0} == {(s, k) for s, k, _ in mails + hosts}
+    assert all(r["before"] == text[max(r["start"] - pii.AROUND, 0):r["start"]] and r["after"] == text[r["start"] + len(r["found"]):][:2] for r in rows)
+
+
+def test_overlapping_spans_are_redacted_once(spark):
+    df = spark.createDataFrame([("abcdefghij", [(1, 0, 4), (2, 1, 3), (3, 2, 6), (6, 3, 7)])], "text string, spans array<struct<start:int,rank:int,end:int>>")
+    assert df.select(pii.redact(F.col("text"), F.col("spans"))).first()[0] == "a[EMAIL][PHONE]hij"
+
+
+def test_running_folds(spark):
+    for n in (0, 1, pii.RUN, pii.RUN + 1, 5 * pii.RUN + 3):
+        xs = [(i * 37) % 101 for i in range(n)]
+        df = spark.createDataFrame([(xs,)], "xs array<int>").select(pii.scanned(F.col("xs"), lambda a, b: a + b), pii.scanned(F.col("xs"), F.greatest))
+        sums, most = df.first()
+        assert sums == [sum(xs[:i + 1]) for i in range(n)] and most == [max(xs[:i + 1]) for i in range(n)]
