@@ -1,4 +1,4 @@
-"""Trees of Spark ML read off as paths and written as column expressions."""
+"""Trees of Spark ML read off as paths and written as column expressions or SQL text."""
 
 from __future__ import annotations
 
@@ -34,12 +34,22 @@ def holds(tests: list[Test], columns: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [columns[f] <= F.lit(t) if low else columns[f] > F.lit(t) for f, low, t in tests])
 
 
-def tree_value(tree, columns: list[Column]) -> Column:
-    """A tree's prediction as an expression: exactly one leaf holds."""
-    found = leaves(tree)
-    if len(found) == 1 and not found[0][0]:
-        return F.lit(found[0][1])
-    out = F.lit(found[-1][1])
-    for tests, value in reversed(found[:-1]):
-        out = F.when(holds(tests, columns), F.lit(value)).otherwise(out)
-    return out
+def tree_sql(tree, features: str) -> str:
+    """A tree's prediction as SQL text over an array of features: one comparison a level, parsed in one piece however many trees there are."""
+    lines = iter([line.strip() for line in tree.toDebugString.splitlines()[1:]])
+
+    def node() -> str:
+        line = next(lines)
+        if m := re.match(r"Predict: (\S+)", line):
+            return f"{float(m[1])!r}D"
+        m = re.match(r"If \(feature (\d+) <= (\S+)\)", line)
+        low = node()
+        next(lines)  # the other branch's own line says the opposite
+        return f"IF({features}[{m[1]}] <= {float(m[2])!r}D, {low}, {node()})"
+
+    return node()
+
+
+def margin_sql(trees, weights, features: str) -> str:
+    """The weighted sum of the trees, in their order."""
+    return " + ".join(["0.0D", *[f"{tree_sql(t, features)} * {float(w)!r}D" for t, w in zip(trees, weights)]])

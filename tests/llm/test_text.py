@@ -3,15 +3,18 @@ import hashlib
 import random
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import public_tokenizers as vocabularies
 import pytest
 import tiktoken
 from brute import base_spans, pfair, sha
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ferrolite.llm import bpe, pfair as P, pii, rules, toxicity, warc
+from ferrolite.llm import bpe, pfair as P, pii, rules, toxicity, trees, warc
 from ferrolite.llm.common import Scratch
 
 RANKS, PATTERN = vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN
@@ -236,3 +239,16 @@ def test_running_folds(spark):
         df = spark.createDataFrame([(xs,)], "xs array<int>").select(pii.scanned(F.col("xs"), lambda a, b: a + b), pii.scanned(F.col("xs"), F.greatest))
         sums, most = df.first()
         assert sums == [sum(xs[:i + 1]) for i in range(n)] and most == [max(xs[:i + 1]) for i in range(n)]
+
+
+def test_compiled_trees_say_what_spark_says(spark):
+    x = F.array(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(40)).cast("double") / 7 - 2 for i in range(5)])
+    data = spark.range(800).select("id", x.alias("f")).withColumn("y", (F.col("f")[1] * F.col("f")[3] + F.col("f")[0] > 1).cast("double"))
+    data = data.withColumn("x", array_to_vector("f"))
+    model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=5, maxDepth=4, stepSize=0.3, seed=7).fit(data.coalesce(1))
+    both = model.transform(data).select(vector_to_array("rawPrediction")[1].alias("raw"), F.expr(trees.margin_sql(model.trees, model.treeWeights, "f")).alias("own"))
+    assert both.where("abs(raw - own) > 1e-12").count() == 0 and both.select("raw").distinct().count() > 10
+    leaf = model.trees[0]
+    paths = [(reduce(lambda a, b: a & b, [(F.col("f")[i] <= t) if low else (F.col("f")[i] > t) for i, low, t in tests]), value) for tests, value in trees.leaves(leaf)]
+    found = data.select(F.expr(trees.tree_sql(leaf, "f")).alias("a"), sum((F.when(on, v).otherwise(0.0) for on, v in paths), F.lit(0.0)).alias("b"))
+    assert found.where("a <> b").count() == 0
