@@ -72,6 +72,30 @@ def _not_after(bound, order: list[Key], values: list[Column]) -> Column:
     return before | tied
 
 
+def cutter(source: DataFrame, order: list[Key], n: int | None = None):
+    """A function that adds `__cell` to any frame with the sort columns, by bounds sampled once from `source`."""
+    rows = _bounds(source, order, n)
+    values = [F.col(k.name) for k in order]
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        up = _not_after(F.get("__bounds", mid), order, values)
+        open_ = acc["lo"] < acc["hi"]
+        return F.struct(F.when(open_ & up, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(open_ & ~up, mid).otherwise(acc["hi"]).alias("hi"))
+
+    def cut(df: DataFrame) -> DataFrame:
+        if not rows:
+            return df.withColumn("__cell", F.lit(0).cast("long"))
+        fields = [T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(order)]
+        kind = T.StructType([T.StructField("__bounds", T.ArrayType(T.StructType(fields)))])
+        held = with_row(df, df.sparkSession.createDataFrame([([tuple(r) for r in rows],)], kind))
+        start = F.struct(F.lit(0).alias("lo"), F.lit(len(rows)).alias("hi"))
+        cell = F.aggregate(F.sequence(F.lit(1), F.lit(max(1, len(rows).bit_length()))), start, halve, lambda acc: acc["lo"].cast("long"))
+        return held.withColumn("__cell", cell).drop("__bounds")
+
+    return cut
+
+
 def with_cells(df: DataFrame, order, n: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add `__cell`, which never decreases along the order and splits the rows evenly.
 
@@ -80,27 +104,9 @@ def with_cells(df: DataFrame, order, n: int | None = None, bounds_from: DataFram
     first sort column (for counts of equal values: the rows before counting) to sample from.
     """
     order = keys_of(order)
-    source = df if bounds_from is None else bounds_from
-    used = order if bounds_from is None else [k for k in order if k.name in bounds_from.columns]
-    rows = _bounds(source, used, n)
-    if not rows:
-        return df.withColumn("__cell", F.lit(0).cast("long"))
-    fields = [T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(used)]
-    kind = T.StructType([T.StructField("bounds", T.ArrayType(T.StructType(fields)))])
-    steps = max(1, len(rows).bit_length())
-    values = [F.col(k.name) for k in used]
-
-    def halve(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        up = _not_after(F.get("__bounds", mid), used, values)
-        open_ = acc["lo"] < acc["hi"]
-        return F.struct(F.when(open_ & up, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(open_ & ~up, mid).otherwise(acc["hi"]).alias("hi"))
-
-    one = df.sparkSession.createDataFrame([([tuple(r) for r in rows],)], kind)
-    held = with_row(df, one.withColumnRenamed("bounds", "__bounds"))
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(rows)).alias("hi"))
-    cell = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"].cast("long"))
-    return held.withColumn("__cell", cell).drop("__bounds")
+    if bounds_from is None:
+        return cutter(df, order, n)(df)
+    return cutter(bounds_from, [k for k in order if k.name in bounds_from.columns], n)(df)
 
 
 def _prefix(table: DataFrame, group: list[str], carried: dict[str, Column]) -> DataFrame:
@@ -110,15 +116,19 @@ def _prefix(table: DataFrame, group: list[str], carried: dict[str, Column]) -> D
 
 
 def number_rows(df: DataFrame, order, group=(), out: str = "pos", total: str | None = None,
-                cell: Column | None = None) -> DataFrame:
+                cell: Column | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
     """Exact 0-based position of every row along `order` within its group.
 
     `cell` may name a known even split of the order (for hash orders); otherwise
     the cells come from quantile sketches of the sort columns. The order must be total.
+    `sizes_from` may name a cheaper frame with the same rows' sort and group columns, so that
+    what was added to `df` is not worked out again to count the cells.
     """
     group = as_list(group)
-    parts = df.withColumn("__cell", cell) if cell is not None else with_cells(df, order)
-    sizes = parts.groupBy(*group, "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    source = df if sizes_from is None else sizes_from
+    cut = cutter(source, keys_of(order)) if cell is None else lambda rows: rows.withColumn("__cell", cell)
+    parts = cut(df)
+    sizes = cut(source).groupBy(*group, "__cell").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*group)
     before = w.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(*group, "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),

@@ -28,8 +28,9 @@ def one_hot(df: DataFrame, index_col: str, drop_last: bool = True, out: str | No
 
 def label_encode(df: DataFrame, cols, fit_on: DataFrame | None = None) -> DataFrame:
     """Rank in the sorted distinct values, from 0."""
+    source = df if fit_on is None else fit_on
     for c in as_list(cols):
-        df = encode_levels(df, c, level_table(df if fit_on is None else fit_on, c, "value"), f"{c}_code")
+        df = encode_levels(df, c, level_table(source, c, "value"), f"{c}_code")
     return df
 
 
@@ -41,9 +42,10 @@ def label_encode_scaled(df: DataFrame, col: str, out: str | None = None) -> Data
 
 
 def multi_label_encode(df: DataFrame, cols, fit_on: DataFrame | None = None, unknown: int = -1) -> DataFrame:
-    """Frequency codes for many columns in one stage."""
+    """Frequency codes for many columns in one stage; levels are learned from the given frame, not from what earlier columns added to it."""
+    source = df if fit_on is None else fit_on
     for c in as_list(cols):
-        df = index_categories(df, c, fit_on, unknown=unknown)
+        df = index_categories(df, c, source, unknown=unknown)
     return df
 
 

@@ -118,9 +118,11 @@ def gauss_rank(df: DataFrame, col: str, key, out: str = "gauss") -> DataFrame:
 
 
 def bin_quantiles(df: DataFrame, cols, k: int, key) -> DataFrame:
-    """k equally filled bins (1-based, like ntile) for several columns."""
+    """k equally filled bins (1-based, like ntile) for several columns; each column's cells are counted on the given frame."""
+    given = df
     for c in as_list(cols):
-        df = number_rows(df, [c, *as_list(key)], out="__pos", total="__n")
+        order = [c, *as_list(key)]
+        df = number_rows(df, order, out="__pos", total="__n", sizes_from=given.select(*dict.fromkeys(order)))
         n, pos = F.col("__n"), F.col("__pos")
         q, rem = F.floor(n / k), n % k
         bin_ = F.when(pos < rem * (q + 1), F.floor(pos / (q + 1))).otherwise(rem + F.floor((pos - rem * (q + 1)) / F.greatest(q, F.lit(1))))

@@ -6,12 +6,13 @@ import unicodedata
 from functools import cache
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover, Tokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.cols import as_list, r, same_keys, with_row
 from ..functions.ordered import number_rows
@@ -88,8 +89,9 @@ def tf_idf(df: DataFrame, key: str, tokens: str = "tokens", sublinear: bool = Tr
     weights = counts.select(key, "term", (tf * idf).alias("weight"))
     if not l2:
         return weights
-    norms = weights.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("__norm"))
-    return same_keys(weights, norms, key).select(key, "term", (F.col("weight") / F.col("__norm")).alias("weight"))
+    # A window over one document's terms: the weights are worked out once, not once more for a table of norms.
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key)))
+    return weights.select(key, "term", (F.col("weight") / norm).alias("weight"))
 
 
 @cache
@@ -155,11 +157,28 @@ def vocabulary(df: DataFrame, tokens: str, num_words: int) -> DataFrame:
     return number_rows(top, ["-n", "term"], out="__pos").select("term", (F.col("__pos") + 1).cast("int").alias("rank"))
 
 
+def ranks_of(ranks: dict[str, int]):
+    """A column function from a token array to the ranks of its known words, in their order; the table is broadcast."""
+    held = SparkSession.active().sparkContext.broadcast(ranks)
+
+    @F.pandas_udf("array<int>")
+    def look_up(tokens: pd.Series) -> pd.Series:
+        rank = held.value.get
+        return pd.Series([[i for i in map(rank, row) if i is not None] if row is not None else [] for row in tokens], dtype=object)
+
+    return look_up
+
+
 def texts_to_sequences(df: DataFrame, key: str, num_words: int, tokens: str = "tokens", fit_on: DataFrame | None = None, out: str = "sequence") -> DataFrame:
-    """Words to frequency ranks, rarer words dropped. Only one text's own words are gathered at a time."""
+    """Words to frequency ranks, rarer words dropped; null tokens give an empty sequence.
+
+    A vocabulary of at most BROADCAST_WORDS words is looked up inside the row, so no text is taken apart or shuffled. A larger one is
+    joined, and only one text's own words are gathered at a time; keys must then be unique.
+    """
     ranks = vocabulary(df if fit_on is None else fit_on, tokens, num_words)
     if num_words <= BROADCAST_WORDS:
-        ranks = F.broadcast(ranks)
+        table = {term: rank for term, rank in ranks.select("term", "rank").collect()}  # at most num_words rows
+        return df.select(key, ranks_of(table)(F.col(tokens)).alias(out))
     hits = df.select(key, F.posexplode(tokens).alias("pos", "term")).join(ranks, "term")
     seqs = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("__s"))
     ordered = F.transform("__s", lambda s: s["rank"])
