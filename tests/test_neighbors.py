@@ -71,3 +71,15 @@ def test_cosine(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [10.0, 1.0]), (3, [0.0, 5.0])], "id long, vec array<double>")
     got = {(r["query_id"], r["base_id"]): r["distance"] for r in K.knn_join(df, df, "id", "vec", 2, "cosine").collect()}
     assert got[(1, 2)] == pytest.approx(1 - 10 / np.sqrt(101), abs=1e-7)
+
+
+def test_query_blocks_follow_the_number_of_queries(spark, monkeypatch):
+    """Queries dealt over many cells meet the base in a few blocks (a block for each cell and hash before), so base rows are copied a few times only."""
+    df = spark.range(3000).select("id", F.array(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0 for i in range(3)]).alias("vec"))
+    monkeypatch.setattr(K, "QUERY_BLOCK", 400)
+    q = K._prepare(df.where("id % 3 = 0"), "id", "vec", "l2", {})
+    made = K._query_blocks(q, K._pivots(K._prepare(df, "id", "vec", "l2", {}), 60))
+    assert len(made) > 30 and max(first + parts for _, first, parts in made) <= 2 * 1000 // 400 + 1
+    monkeypatch.setattr(K, "QUERY_BLOCK", 7)  # crowded cells get blocks of their own
+    assert pairs(K.knn_join(df.where("id % 30 = 0"), df, "id", "vec", 3, small=False, pivots=5)) == \
+        pairs(K.knn_join(df.where("id % 30 = 0"), df, "id", "vec", 3, small=True))
