@@ -30,6 +30,10 @@ class Key:
         c = F.col(self.name)
         return c.desc_nulls_last() if self.desc else c.asc_nulls_first()
 
+    def back(self) -> Column:
+        c = F.col(self.name)
+        return c.asc_nulls_first() if self.desc else c.desc_nulls_last()
+
 
 def keys_of(order) -> list[Key]:
     """'x' sorts up, '-x' sorts down."""
@@ -77,21 +81,20 @@ def cutter(source: DataFrame, order: list[Key], n: int | None = None):
     rows = _bounds(source, order, n)
     values = [F.col(k.name) for k in order]
 
-    def halve(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        up = _not_after(F.get("__bounds", mid), order, values)
-        open_ = acc["lo"] < acc["hi"]
-        return F.struct(F.when(open_ & up, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(open_ & ~up, mid).otherwise(acc["hi"]).alias("hi"))
-
     def cut(df: DataFrame) -> DataFrame:
         if not rows:
             return df.withColumn("__cell", F.lit(0).cast("long"))
         fields = [T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(order)]
         kind = T.StructType([T.StructField("__bounds", T.ArrayType(T.StructType(fields)))])
         held = with_row(df, df.sparkSession.createDataFrame([([tuple(r) for r in rows],)], kind))
-        start = F.struct(F.lit(0).alias("lo"), F.lit(len(rows)).alias("hi"))
-        cell = F.aggregate(F.sequence(F.lit(1), F.lit(max(1, len(rows).bit_length()))), start, halve, lambda acc: acc["lo"].cast("long"))
-        return held.withColumn("__cell", cell).drop("__bounds")
+        # Binary search, one projection a step: a higher-order function would interpret its comparisons anew for each row.
+        held, step = held.withColumn("__cell", F.lit(0)), 1 << (len(rows).bit_length() - 1)
+        while step:
+            at = F.col("__cell") + (step - 1)
+            up = (at < len(rows)) & _not_after(F.get("__bounds", at), order, values)
+            held = held.withColumn("__cell", F.when(up, F.col("__cell") + step).otherwise(F.col("__cell")))
+            step >>= 1
+        return held.withColumn("__cell", F.col("__cell").cast("long")).drop("__bounds")
 
     return cut
 
@@ -167,18 +170,18 @@ def next_valid(df: DataFrame, order, value: str, out: str, group=()) -> DataFram
     """First non-null value at or after each row (back fill) along a total order."""
     group, order = as_list(group), keys_of(order)
     parts = with_cells(df, order)
-    sort = [k.sort() for k in order]
-    inner = Window.partitionBy(*group, "__cell").orderBy(*sort)
-    ahead = inner.rowsBetween(0, Window.unboundedFollowing)
+    inner = Window.partitionBy(*group, "__cell").orderBy(*[k.sort() for k in order])
+    # Rows are met from the last to the first: a frame that grows takes one step a row, one that shrinks is gone through anew for each row.
+    met = Window.partitionBy(*group, "__cell").orderBy(*[k.back() for k in order]).rowsBetween(Window.unboundedPreceding, 0)
     # The first valid value of a cell: each row asks for it, the cell keeps one copy.
     heads = (parts.where(F.col(value).isNotNull())
              .withColumn("__rn", F.row_number().over(inner)).where("__rn = 1")
              .select(*group, "__cell", F.col(value).alias("__head")))
     cells = parts.select(*group, "__cell").distinct()
     heads = same_keys(cells, heads, [*group, "__cell"], "left")
-    later = Window.partitionBy(*group).orderBy("__cell").rowsBetween(1, Window.unboundedFollowing)
-    carry = heads.select(*group, "__cell", F.first("__head", ignorenulls=True).over(later).alias("__carry"))
-    filled = parts.withColumn("__here", F.first(value, ignorenulls=True).over(ahead))
+    later = Window.partitionBy(*group).orderBy(F.desc("__cell")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = heads.select(*group, "__cell", F.last("__head", ignorenulls=True).over(later).alias("__carry"))
+    filled = parts.withColumn("__here", F.last(value, ignorenulls=True).over(met))
     joined = same_keys(filled, carry, [*group, "__cell"])
     return joined.withColumn(out, F.coalesce("__here", "__carry")).drop("__cell", "__here", "__carry")
 
