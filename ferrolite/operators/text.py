@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.cols import as_list, r, same_keys, with_row
 from ..functions.ordered import number_rows
+from ..functions.store import saved
 from .window import top_k_per_group
 
 
@@ -57,22 +58,52 @@ def hashing_tf(df: DataFrame, n: int, tokens: str = "tokens", out: str = "tf") -
     return HashingTF(inputCol=tokens, outputCol=out, numFeatures=n).transform(df)
 
 
+def _row_counts(tokens: str) -> Column:
+    """(term, tf) of one row's tokens, from the ends of the runs in their order. The arrays are bound by lambdas, as a column used twice is worked out twice."""
+
+    def runs(held: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: (i == 0) | ~F.get(held, i).eqNullSafe(F.get(held, i - 1)))
+
+        def ends(at: Column) -> Column:
+            return F.transform(at, lambda i, j: F.struct(F.get(held, i).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(held)) - i).cast("long").alias("tf")))
+
+        return F.get(F.transform(F.array(starts), ends), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(tokens)), runs), F.lit(0))
+
+
 def term_counts(df: DataFrame, key: str, tokens: str = "tokens", keep=()) -> DataFrame:
-    """(key, term, tf), counted before the shuffle."""
+    """(key, term, tf), counted inside the row; rows that share a key are counted together, by a shuffle that is left out if no key repeats."""
     keys = [key, *as_list(keep)]
-    return df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = df.where(F.size(tokens) > 0).select(*keys, F.inline(_row_counts(tokens)))
+    if df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return counts
+    return counts.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
+
+
+def of_terms(counts: DataFrame, table: DataFrame, weight: str, most: int = BROADCAST_WORDS) -> DataFrame:
+    """Join counts to a table of one row a term. The `most` terms of the largest weight are looked up in place; only rarer ones are shuffled.
+
+    Both frames are read more than once, so they should be saved ones.
+    """
+    hot = table.orderBy(F.desc(weight), "term").limit(most)
+    if table.count() <= most:
+        return counts.join(F.broadcast(table), "term")
+    met = counts.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), "term", "left")
+    rare = met.where("__hot IS NULL").select(*counts.columns).join(table, "term")
+    return met.where("__hot").drop("__hot").unionByName(rare)
 
 
 def count_vectorize(df: DataFrame, key: str, tokens: str = "tokens", min_df: int = 1, max_df: float = 1.0,
                     max_features: int | None = None) -> DataFrame:
     """Bag of words in long form over the learned vocabulary (largest corpus counts first, ties by term)."""
-    tf = term_counts(df, key, tokens)
+    tf = saved(term_counts(df, key, tokens), "counts")
     vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = with_row(vocab, df.agg(F.count(F.lit(1)).alias("__n")))
     vocab = vocab.where((F.col("df") >= min_df) & (F.col("df") <= F.col("__n") * max_df))
     if max_features:
         vocab = vocab.orderBy(F.desc("total"), "term").limit(max_features)
-    return tf.join(vocab.select("term", "df"), "term").select(key, "term", "tf", "df")
+    return of_terms(tf, saved(vocab.select("term", "df"), "vocabulary"), "df").select(key, "term", "tf", "df")
 
 
 def count_vectors(df: DataFrame, vocab_size: int, min_df: float = 1.0, tokens: str = "tokens", out: str = "counts") -> DataFrame:
@@ -143,8 +174,9 @@ def word2vec(df: DataFrame, size: int, tokens: str = "tokens", min_count: int =
 
 def mean_embedding(df: DataFrame, vectors: DataFrame, key: str, dims: int, tokens: str = "tokens", out: str = "embedding") -> DataFrame:
     """Average of the known word vectors of each text; zeros if none is known. `vectors` is (term, vector)."""
-    counts = term_counts(df, key, tokens)
-    known = counts.join(vectors, "term")
+    counts = saved(term_counts(df, key, tokens), "counts")
+    held = counts.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
+    known = of_terms(counts, saved(vectors.join(held, "term"), "vectors"), "__df")
     sums = known.groupBy(key).agg(F.sum("tf").alias("__n"), *[F.sum(F.col("vector")[i] * F.col("tf")).alias(f"__{i}") for i in range(dims)])
     mean = F.when(F.col("__n").isNull(), F.array_repeat(F.lit(0.0), dims)).otherwise(F.array(*[F.col(f"__{i}") / F.col("__n") for i in range(dims)]))
     return df.select(key).join(sums, key, "left").select(key, mean.alias(out))
