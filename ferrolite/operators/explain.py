@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -237,20 +237,33 @@ def lime_text(df: DataFrame, model, key: str, text: str = "text", n: int = 30, p
     rows = rows.withColumn("__mask", F.transform("__parts", lambda p, i: bit(i)))
     kept = F.transform(F.filter(F.arrays_zip("__parts", "__mask"), lambda z: z["__mask"]), lambda z: z["__parts"])
     scored = model.transform(rows.withColumn(text, F.array_join(kept, ". ")))
-    scored = scored.select(key, F.transform("__mask", lambda b: b.cast("int")).alias("mask"), vector_to_array("probability")[positive].alias("p"))
+    draw = F.struct(F.transform("__mask", lambda b: b.cast("byte")).alias("mask"), vector_to_array("probability")[positive].alias("p"))
+    texts = scored.groupBy(key).agg(F.collect_list(draw).alias("__d")).select(key, F.col("__d.mask").alias("mask"), F.col("__d.p").alias("p"))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["mask"].to_numpy()).astype(float)
-        y = pdf["p"].to_numpy()
-        if x.shape[1] == 0:
-            return pd.DataFrame({key: [], "part_no": [], "weight": []})
+    def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         w = np.exp(-((1 - x.mean(1)) ** 2) / 0.25)
         mx, my = np.average(x, axis=0, weights=w), np.average(y, weights=w)
         xs, ys = (x - mx) * np.sqrt(w)[:, None], (y - my) * np.sqrt(w)
-        beta = xs.T @ np.linalg.solve(xs @ xs.T + ridge * np.eye(len(y)), ys)
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(beta), "part_no": np.arange(len(beta)), "weight": beta})
-
-    return scored.groupBy(key).applyInPandas(fit, f"{key} {df.schema[key].dataType.simpleString()}, part_no int, weight double")
+        return xs.T @ np.linalg.solve(xs @ xs.T + ridge * np.eye(len(y)), ys)
+
+    def fits(batches):
+        for batch in batches:
+            masks, scores = batch.column("mask"), batch.column("p")
+            at, ends, bits = masks.offsets.to_numpy(), masks.values.offsets.to_numpy(), masks.values.values.to_numpy()
+            begin, p = scores.offsets.to_numpy(), scores.values.to_numpy()
+            found = []
+            for i in range(len(masks)):
+                width = set(np.diff(ends[at[i]:at[i + 1] + 1]))
+                if len(width) != 1:
+                    raise ValueError(f"texts of different lengths share a {key}")
+                x = bits[ends[at[i]]:ends[at[i + 1]]].reshape(-1, max(*width, 1))
+                found.append(fit(x.astype(float), p[begin[i]:begin[i + 1]]) if len(x) else np.zeros(0))
+            sizes = [len(beta) for beta in found]
+            owner = pa.array(np.repeat(np.arange(len(found)), sizes))
+            part = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(owner), pa.array(part, pa.int32()), pa.array(np.concatenate(found), pa.float64())], names=[key, "part_no", "weight"])
+
+    return texts.mapInArrow(fits, f"{key} {df.schema[key].dataType.simpleString()}, part_no int, weight double")
 
 
 def top_weight_parts(df: DataFrame, key: str, weight: str, percentile: float) -> DataFrame:

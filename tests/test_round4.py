@@ -77,3 +77,16 @@ def test_stacking_scores_all_models_in_one_pass(spark):
     assert {r["id"]: {"tree": r["weak_tree"], "nb": r["weak_nb"]} for r in got.collect()} == want
     twice = df.unionByName(df.where("id < 2"))
     assert models.stack_features(twice, _weak(), 2, "id", "label").where("id < 2").count() == 2 * 2 * 2 * 2
+
+
+def test_lime_fits_many_texts_a_batch(spark):
+    """No frame is made for each text; an empty text has no parts, one key's texts are fitted together."""
+    def scored(df):
+        return df.withColumn("probability", models.array_to_vector(F.array(F.lit(0.0), F.when(F.col("text").contains("good"), 0.9).otherwise(0.1))))
+
+    df = spark.createDataFrame([(1, "good one. other part. third"), (2, ""), (3, "plain. good"), (4, "a. b"), (4, "a. b")], "id long, text string")
+    got = explain.lime_text(df, SimpleNamespace(transform=scored), "id", n=40)
+    assert "FlatMapGroupsInPandas" not in plan(got)
+    rows = {(r["id"], r["part_no"]): r["weight"] for r in got.collect()}
+    assert sorted(rows) == [(1, 0), (1, 1), (1, 2), (3, 0), (3, 1), (4, 0), (4, 1)]
+    assert rows[1, 0] > 0.5 and rows[3, 1] > 0.5 and max(abs(rows[k]) for k in ((1, 1), (1, 2), (3, 0), (4, 0), (4, 1))) < 0.1
