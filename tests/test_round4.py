@@ -53,6 +53,7 @@ def test_boruta_fits_on_kept_rows(spark, monkeypatch):
             return SimpleNamespace(featureImportances=SimpleNamespace(toArray=lambda: np.array([1.0, 0.0])))
 
     monkeypatch.setattr(explain, "RandomForestClassifier", Forest)
+    monkeypatch.setattr(explain, "KEPT_ROWS", 50)
     df = spark.range(60).select("id", (F.col("id") * 3).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
     got = explain.boruta(df, ["x"], "y", "id", max_iter=2).first()
     assert got["hits"] == 2 and len(seen) == 2
@@ -76,7 +77,7 @@ def test_stacking_scores_all_models_in_one_pass(spark):
             want.setdefault(row["id"], {})[name] = row["prediction"]
     assert {r["id"]: {"tree": r["weak_tree"], "nb": r["weak_nb"]} for r in got.collect()} == want
     twice = df.unionByName(df.where("id < 2"))
-    assert models.stack_features(twice, _weak(), 2, "id", "label").where("id < 2").count() == 2 * 2 * 2 * 2
+    assert models.stack_features(twice, _weak(), 2, "id", "label").where("id < 2").count() == 2 * (2 * 2) ** 2  # joined twice
 
 
 def test_lime_fits_many_texts_a_batch(spark):
