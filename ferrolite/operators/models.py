@@ -326,14 +326,14 @@ def cross_val_score(df: DataFrame, est: Estimator, k: int, key, evaluator, label
 def stack_features(df: DataFrame, weak: dict[str, Estimator], k: int, key: str, label: str, seed: int = 1) -> DataFrame:
     """Out-of-fold predictions of weak models as extra columns.
 
-    All models share the folds. If no key repeats or is null, they score the rows in one pass; else predictions are joined by the key.
+    If no key repeats or is null, all models share the folds and score the rows in one pass; else each model's predictions are joined by the key.
     """
-    folded, models = _fitted_by_fold(df, weak, k, key, label, seed)
     if df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where((F.col("__n") > 1) | F.col(key).isNull()).isEmpty():
+        folded, models = _fitted_by_fold(df, weak, k, key, label, seed)
         for name in weak:
             folded = _by_own_models(folded, models[name], f"__{name}_")
         return folded.select(*df.columns, *[F.col(f"__{name}_p").alias(f"weak_{name}") for name in weak])
-    for name in weak:
-        preds = _by_own_models(folded, models[name]).select(F.col(key).alias("__k"), F.col("__p").alias(f"weak_{name}"))
+    for name, est in weak.items():
+        preds = cross_val_predict(df, est, k, key, label, seed).select(F.col(key).alias("__k"), F.col("prediction").alias(f"weak_{name}"))
         df = df.join(preds, F.col(key) == F.col("__k")).drop("__k")
     return df
