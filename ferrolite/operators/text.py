@@ -82,11 +82,12 @@ def term_counts(df: DataFrame, key: str, tokens: str = "tokens", keep=()) -> Dat
 
 
 def of_terms(counts: DataFrame, table: DataFrame, weight: str, most: int = BROADCAST_WORDS) -> DataFrame:
-    """Join counts to a table of one row a term. The `most` terms of the largest weight are looked up in place; only rarer ones are shuffled.
+    """Join counts to a table by term. The `most` terms of the largest weight are looked up in place; only rarer ones are shuffled.
 
     Both frames are read more than once, so they should be saved ones.
     """
-    hot = table.orderBy(F.desc(weight), "term").limit(most)
+    terms = table.groupBy("term").agg(F.max(weight).alias("__w")).orderBy(F.desc("__w"), "term").limit(most).select("term")
+    hot = table.join(F.broadcast(terms), "term", "left_semi")  # a term that comes twice is hot with all its rows or not at all
     if table.count() <= most:
         return counts.join(F.broadcast(table), "term")
     met = counts.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), "term", "left")

@@ -31,9 +31,9 @@ def test_rows_that_share_a_key_are_counted_together(spark):
 
 def test_frequent_and_rare_terms_meet_their_rows(spark):
     counts = spark.createDataFrame([(i, f"t{i % 7}", i) for i in range(50)] + [(99, "gone", 1), (98, None, 1)], "id long, term string, tf long")
-    table = spark.createDataFrame([(f"t{i}", 10 - i // 2) for i in range(7)], "term string, df long")
-    want = sorted((f"t{i % 7}", i, i, 10 - i % 7 // 2) for i in range(50))
-    for most in (0, 1, 3, 7):
+    table = spark.createDataFrame([(f"t{i}", 10 - i // 2) for i in range(7)] + [("t1", 2)], "term string, df long")
+    want = sorted([(f"t{i % 7}", i, i, 10 - i % 7 // 2) for i in range(50)] + [("t1", i, i, 2) for i in range(1, 50, 7)])
+    for most in (0, 1, 2, 3, 8):
         got = text.of_terms(counts, table, "df", most).select("term", "id", "tf", "df")
         assert sorted(tuple(x) for x in got.collect()) == want
 
