@@ -16,7 +16,7 @@ from pyspark.ml.feature import FeatureHasher, HashingTF, Imputer, OneHotEncoder,
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.cols import NUMERIC, as_list, dbl, r, require, union_all, with_row
+from ..functions.cols import NUMERIC, as_list, dbl, r, require, skew_safe_lookup, union_all, with_row
 from .evaluate import CLIP
 from .split import kfold, stratified_kfold
 
@@ -29,6 +29,7 @@ REGRESSORS = {
     "ridge": lambda **kw: R.LinearRegression(elasticNetParam=0.0, **kw)}
 # Search spaces name tree counts the forest way; boosted trees call them iterations.
 RENAMED = {"gbt": {"numTrees": "maxIter"}, "gbt_reg": {"numTrees": "maxIter"}}
+SENT_WEIGHTS = 10_000
 
 
 def estimator(kind: str, features: str = "features", label: str = "label", **params) -> Estimator:
@@ -237,9 +238,14 @@ def grouped_fit(df: DataFrame, group, features, label: str, ridges=(0.0,)) -> Da
 
 
 def weighted_ensemble(preds: DataFrame, weights: DataFrame, key: str, model: str = "model", value: str = "p") -> DataFrame:
-    """Blend of long predictions (key, model, p) by (model, weight), weights scaled to one."""
+    """Blend of long predictions (key, model, p) by (model, weight), weights scaled to one.
+
+    A model's predictions are as many as the keys, so they never meet in one task: weights of at most SENT_WEIGHTS rows are sent to the predictions, more are joined by salted keys.
+    """
     scaled = with_row(weights, weights.agg(F.sum("weight").alias("__sum"))).select(model, (F.col("weight") / F.col("__sum")).alias("__w"))
-    return preds.join(scaled, model).groupBy(key).agg(r(F.sum(F.col(value) * F.col("__w"))).alias("blend"))
+    few = weights.limit(SENT_WEIGHTS + 1).count() <= SENT_WEIGHTS
+    weighed = preds.join(F.broadcast(scaled), model) if few else skew_safe_lookup(preds, scaled, model, key)
+    return weighed.groupBy(key).agg(r(F.sum(F.col(value) * F.col("__w"))).alias("blend"))
 
 
 def squared_loss(label: Column, p: Column) -> Column:
