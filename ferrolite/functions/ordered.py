@@ -40,11 +40,32 @@ def keys_of(order) -> list[Key]:
     return [k if isinstance(k, Key) else Key(k.lstrip("-"), k.startswith("-")) for k in as_list(order)]
 
 
+def _falling(name: str, kind: T.DataType) -> Column | None:
+    """What rises where a column falls, nulls last; none for types without such an image."""
+    c = F.col(name)
+    if isinstance(kind, T.IntegralType):
+        return F.struct(c.isNull(), F.bitwise_not(c))
+    if isinstance(kind, T.FractionalType):
+        return F.struct(c.isNull(), ~F.isnan(c.cast("double")), -c)
+    return F.struct(c.isNull(), F.bitwise_not(F.unix_date(c))) if isinstance(kind, T.DateType) else None
+
+
+def _images(df: DataFrame, order: list[Key]) -> tuple[list[Key], list[Column]]:
+    """Sort keys k0, k1, ... and their columns; where some sort up and some down, all sort up if their types allow it."""
+    mixed, keys, values = len({k.desc for k in order}) > 1, [], []
+    for i, k in enumerate(order):
+        image = _falling(k.name, df.schema[k.name].dataType) if mixed and k.desc else None
+        keys.append(Key(f"k{i}", k.desc and image is None))
+        values.append((F.col(k.name) if image is None else image).alias(f"k{i}"))
+    return keys, values
+
+
 def _sample(df: DataFrame, order: list[Key], size: int) -> list:
     """At most `size` random rows' sort keys in order."""
-    keys = df.select(*[F.col(k.name).alias(f"k{i}") for i, k in enumerate(order)])
+    order, values = _images(df, order)
+    keys = df.select(*values)
     some = keys.withColumn("draw", F.rand(7)).orderBy("draw").limit(size).drop("draw")
-    return some.sortWithinPartitions(*[Key(f"k{i}", k.desc).sort() for i, k in enumerate(order)]).collect()
+    return some.sortWithinPartitions(*[k.sort() for k in order]).collect()
 
 
 def cells_for(n_rows: int, spark) -> int:
@@ -65,34 +86,41 @@ def _bounds(df: DataFrame, order: list[Key], n: int | None) -> list:
     return [r for r, before in zip(picked, [None, *picked]) if r != before]
 
 
-def _not_after(bound, order: list[Key], values: list[Column]) -> Column:
-    """Does a bound stand before the row in the full sort order, or at its place? Null is the least value."""
-    before, tied = F.lit(False), F.lit(True)
-    for i, (key, v) in enumerate(zip(order, values)):
-        b = bound[f"k{i}"]
-        low, high = (v, b) if key.desc else (b, v)
-        before = before | (tied & F.coalesce((low.isNull() & high.isNotNull()) | (low < high), F.lit(False)))
-        tied = tied & b.eqNullSafe(v)
-    return before | tied
+def _not_after(bound: Column, order: list[Key], values: list[Column]) -> Column:
+    """Does a bound stand before the row in the full sort order, or at its place? Null is the least value; null if there is no such bound.
+
+    The bound is named once: structs compare field by field with null as the least, and a field that sorts down changes sides.
+    """
+    mine = F.struct(*values)
+    if not any(key.desc for key in order):
+        return bound <= mine
+    if all(key.desc for key in order):
+        return mine <= bound
+
+    def sides(b: Column) -> Column:
+        pairs = [(v, b[key.name].alias(key.name)) if key.desc else (b[key.name].alias(key.name), v) for key, v in zip(order, values)]
+        low, high = (F.struct(*side) for side in zip(*pairs))
+        return F.when(b.isNotNull(), low <= high)
+
+    return F.get(F.transform(F.array(bound), sides), F.lit(0))
 
 
 def cutter(source: DataFrame, order: list[Key], n: int | None = None):
     """A function that adds `__cell` to any frame with the sort columns, by bounds sampled once from `source`."""
     rows = _bounds(source, order, n)
-    values = [F.col(k.name) for k in order]
 
     def cut(df: DataFrame) -> DataFrame:
         if not rows:
             return df.withColumn("__cell", F.lit(0).cast("long"))
-        fields = [T.StructField(f"k{i}", df.schema[k.name].dataType) for i, k in enumerate(order)]
-        kind = T.StructType([T.StructField("__bounds", T.ArrayType(T.StructType(fields)))])
+        keys, values = _images(df, order)
+        kind = T.StructType([T.StructField("__bounds", T.ArrayType(df.select(*values).schema))])
         held = with_row(df, df.sparkSession.createDataFrame([([tuple(r) for r in rows],)], kind))
         # Binary search, one projection a step: a higher-order function would interpret its comparisons anew for each row.
+        # A step names the last one's cell twice, so that a plan into which all of them are written grows with the bounds only.
         held, step = held.withColumn("__cell", F.lit(0)), 1 << (len(rows).bit_length() - 1)
         while step:
-            at = F.col("__cell") + (step - 1)
-            up = (at < len(rows)) & _not_after(F.get("__bounds", at), order, values)
-            held = held.withColumn("__cell", F.when(up, F.col("__cell") + step).otherwise(F.col("__cell")))
+            up = _not_after(F.get("__bounds", F.col("__cell") + (step - 1)), keys, values)
+            held = held.withColumn("__cell", F.col("__cell") + F.when(F.coalesce(up, F.lit(False)), step).otherwise(0))
             step >>= 1
         return held.withColumn("__cell", F.col("__cell").cast("long")).drop("__bounds")
 
