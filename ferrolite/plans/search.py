@@ -204,7 +204,7 @@ def _(t):
 @query("cross_validate_grid", "K5", "K7", "K10")
 def _(t):
     est = I.estimator("decision_tree")
-    df = H.kfold(lines(t, "flag"), 2, 3, "row_id")
+    df = H.kfold(lines(t, "flag"), 2, 3, "row_id").select("features", "label", "fold")
     cv = S.cross_validate_grid(df, est, K.grid(est, {"maxDepth": [2, 4], "maxBins": [8, 16]}), auc(), "fold", 2)
     return S.cv_results(t.spark, cv)
 
@@ -245,8 +245,11 @@ def _(t):
 
 @query("evolve", "K23")
 def _(t):
-    train, valid, _ = _parts(t)
-    return S.evolve(t.spark, S.validation_objective(train, valid, auc()), TREES, 2, 4, start=[{"model": "decision_tree", "model__decision_tree__maxDepth": 3}])
+    train, valid = (part.select("features", "label").persist() for part in _parts(t)[:2])  # every fit and score reads them many times
+    try:
+        return S.evolve(t.spark, S.validation_objective(train, valid, auc()), TREES, 2, 4, start=[{"model": "decision_tree", "model__decision_tree__maxDepth": 3}])
+    finally:
+        train.unpersist(), valid.unpersist()
 
 
 @query("cached_prefix", "K26")
