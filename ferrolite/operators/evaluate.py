@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.cols import as_list, dbl, div, r, same_keys, union_all, with_row
 from ..functions.ordered import running
 from ..functions.quantiles import quantiles
+from ..functions.store import saved
 
 CLIP = 1e-15
 
@@ -25,13 +26,12 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") ->
 
 
 def score_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Per distinct score: positives, negatives, and their totals at or above it."""
+    """Per distinct score: positives, negatives, and their totals at or above it. The scores are worked out once, the counts are saved."""
     pos = F.sum(F.when(F.col(label) == 1, 1).otherwise(0))
     rows = df.select(F.col(score).alias("threshold"), label)
-    counts = rows.groupBy("threshold").agg(pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg"))
-    curve = running(counts, "-threshold", sums={"tp": F.col("pos"), "fp": F.col("neg")}, bounds_from=rows)
-    totals = df.agg(pos.alias("p"), (F.count(F.lit(1)) - pos).alias("n"))
-    return with_row(curve, totals)
+    counts = saved(rows.groupBy("threshold").agg(pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg")), "scores")
+    curve = running(counts, "-threshold", sums={"tp": F.col("pos"), "fp": F.col("neg")})
+    return with_row(curve, counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
 
 
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label", digits: int = 6) -> DataFrame:
