@@ -9,7 +9,8 @@ numbers, dates, versions, ids and prose. Candidates that no check decides teach
 expression over the candidates of a row, so nothing is exploded or shuffled to be scored. Isotonic regression on candidates left out of the training turns margins into
 probabilities, and each generator's threshold is the least that keeps the left-out precision at `PRECISION`.
 
-The fit uses at most `sample` candidates of each generator, half of them spans, those with the smallest hash of document id and place. Positions are code points, ends exclusive.
+The fit uses every candidate that a check decides and every span's other shapes. Candidates that look alike to the trees are one row with their number as its weight,
+so the passes of the training go over distinct rows, and bins are as many as it takes for Spark to place splits without sampling them. Positions are code points, ends exclusive.
 Work on a text grows with its length and its matches: running sums and greatest ends are worked out in runs, substrings from pieces of the text.
 Null texts count as empty. Tables without candidates train no trees; then the base spans are all there is. Extra columns are not looked at.
 """
@@ -17,6 +18,7 @@ Null texts count as empty. Tables without candidates train no trees; then the ba
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -52,10 +54,10 @@ HINTS = {
     "hint_card": r"(?i)card|visa|karte|carte|tarjeta|pay", "hint_ip": r"(?i)\bip\b|host|addr|server", "hint_secret": r"(?i)token|passw|key|secret|[=\"]\s?$",
     "hint_id": r"(?i)\b(?:item|id|order|no|ref|isbn|version|release|serial|invoice)\b\W*$|#$",
 }
-SAMPLE = 4000
 ROUNDS, DEPTH = 16, 3
 PRECISION = 0.95
 AROUND = 24
+TASK_ROWS = 1 << 14
 
 
 RUN = 256
@@ -304,7 +306,20 @@ def judged(df: DataFrame) -> DataFrame:
     return df.withColumn("cand", F.filter(found, lambda m: m.isNotNull())).drop("marks")
 
 
-def fit(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
+def examples(rows: DataFrame, rank: int) -> DataFrame:
+    """What a generator's trees learn from: f, y, held_out and n, the number of candidates and rewritten spans that are alike in these. `rows` are judged candidates."""
+    own = rows.where((F.col("rank") == rank) & F.col("y").isNotNull()).select("found", "before", "after", "draw", "y")
+    spans = own.where("y = 1").drop("y").unionByName(made_up(rows.sparkSession).where(F.col("rank") == rank).drop("rank"))
+    good, bad = reshaped(KINDS[rank], F.col("found"))
+    other = F.explode(F.array(*[F.struct(x.alias("found"), F.lit(y).alias("y")) for xs, y in ((good, 1.0), (bad, 0.0)) for x in xs]))
+    made = spans.select(other.alias("x"), "before", "after", "draw").select("x.found", "before", "after", "draw", "x.y")
+    c = {k: F.col(k) for k in ("found", "before", "after")}
+    # A span's shapes are all on one side.
+    some = own.unionByName(made).select(F.array(*features(c)).alias("f"), "y", (F.pmod("draw", F.lit(4)) == 0).alias("held_out"))
+    return some.groupBy("f", "y", "held_out").agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def fit(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> Model:
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # The outer form: for the plain one a filter on the whole candidate search would be made and worked out once more.
     rows = judged(candidates(base_spans(docs))).select("id", F.inline_outer("cand")).where(F.col("rank").isNotNull()).drop("tag")
@@ -312,31 +327,30 @@ def fit(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str =
     there = {r["rank"] for r in rows.select("rank").distinct().collect()}
     trees, least = {}, {}
     for rank in sorted(there):
-        own = rows.where(F.col("rank") == rank)
-        part = [own.where(F.col("y") == y).orderBy("draw", "id", "start").limit(sample // 2).select("found", "before", "after", "draw", "y") for y in (1.0, 0.0)]
-        spans = part[0].drop("y").unionByName(made_up(df.sparkSession).where(F.col("rank") == rank).drop("rank"))
-        good, bad = reshaped(KINDS[rank], F.col("found"))
-        other = F.explode(F.array(*[F.struct(x.alias("found"), F.lit(y).alias("y")) for xs, y in ((good, 1.0), (bad, 0.0)) for x in xs]))
-        made = spans.select(other.alias("x"), "before", "after", "draw").select("x.found", "before", "after", "draw", "x.y")
-        c = {k: F.col(k) for k in ("found", "before", "after")}
-        some = part[0].unionByName(part[1]).unionByName(made).select("y", "draw", F.array(*features(c)).alias("f")).coalesce(1)
-        some = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(some.select("y", "draw", *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES)])).cache()
-        # A span's shapes are all on one side.
-        train, test = some.where("pmod(draw, 4) <> 0"), some.where("pmod(draw, 4) = 0")
-        model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(train)
+        some = scratch.save(examples(rows, rank))
+        n = some.count()
+        # In an order of its own, as sums of the training depend on it.
+        dealt = some.repartition(-(-n // TASK_ROWS)).sortWithinPartitions("f", "y", "held_out")
+        dealt = dealt.select("y", "held_out", "n", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
+        dealt = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(dealt).select("y", "held_out", "n", "x").cache()
+        train, test = dealt.where("NOT held_out"), dealt.where("held_out")
+        # Spark looks for splits among the square of this number of rows, 10,000 at least.
+        bins = max(32, isqrt(n) + 1)
+        model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="n", maxIter=ROUNDS, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=7).fit(train)
         trees[rank] = (model.trees, model.treeWeights)
-        least[rank] = _least(model.transform(test).select("y", (2 * vector_to_array("probability")[1] - 1).alias("p")))
-        some.unpersist()
+        least[rank] = _least(model.transform(test).select("y", "n", (2 * vector_to_array("probability")[1] - 1).alias("p")))
+        dealt.unpersist()
     return Model(trees, least)
 
 
 def _least(tested: DataFrame) -> float | None:
-    """The least margin whose calibrated probability reaches PRECISION on candidates left out of the training."""
+    """The least margin whose calibrated probability reaches PRECISION on candidates left out of the training; rows count n times."""
     if tested.isEmpty():
         return None
     # Spark's probability is the logistic function of twice the margin.
-    margins = tested.select("y", F.atanh(F.least(F.greatest("p", F.lit(-1 + 1e-12)), F.lit(1 - 1e-12))).alias("z"))
-    curve = IsotonicRegression(featuresCol="z", labelCol="y").fit(margins)
+    margins = tested.select("y", "n", F.atanh(F.least(F.greatest("p", F.lit(-1 + 1e-12)), F.lit(1 - 1e-12))).alias("z"))
+    margins = margins.groupBy("y", "z").agg(F.sum("n").alias("n"))
+    curve = IsotonicRegression(featuresCol="z", labelCol="y", weightCol="n").fit(margins)
     found = [float(b) for b, p in zip(curve.boundaries.toArray(), curve.predictions.toArray()) if p >= PRECISION]
     return min(found) if found else None
 

@@ -136,6 +136,27 @@ def test_pii_of_other_shapes_is_added(spark):
     assert not missed and not extra, (missed, extra)
 
 
+def test_pii_learns_from_every_candidate(spark, monkeypatch):
+    """More spans and counterexamples of a kind than any bound once was: each counts, on one side or the other."""
+    rows = [(d, " ".join(f"10.{d}.{i % 256}.{i // 256 + 1} {i + 300}.{d}.4.5" for i in range(700))) for d in range(4)]
+    train_rows, test_rows = [], []
+
+    class Counted(pii.GBTClassifier):
+        def fit(self, train):
+            weight = self.getOrDefault("weightCol") if self.isDefined("weightCol") else None
+            train_rows.append(train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0])
+            return super().fit(train)
+
+    def least(tested):
+        test_rows.append(tested.agg(F.sum("n") if "n" in tested.columns else F.count(F.lit(1))).first()[0])
+
+    monkeypatch.setattr(pii, "GBTClassifier", Counted)
+    monkeypatch.setattr(pii, "_least", least)
+    pii.fit(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "pii"))
+    shapes = sum(len(x) for x in pii.reshaped("ip", F.col("found")))
+    assert train_rows[0] + test_rows[0] == 2800 * 2 + (2800 + 300) * shapes  # the first kind that the texts hold
+
+
 def test_pii_without_candidates(nothing, spark):
     model = pii.fit(nothing, Scratch(spark, "pii"))
     assert not model.trees
