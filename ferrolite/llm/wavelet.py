@@ -38,6 +38,7 @@ from .common import Scratch, held, text_of
 MAGIC = b"WVMATRX1"
 SHARD_TOKENS = 1 << 20
 TASK_BYTES = 32 << 20
+TASK_FILES = 4
 BLOCK_BYTES = 1 << 14
 BLOCK_BITS = BLOCK_BYTES * 8
 HELD_BLOCKS = 128
@@ -115,7 +116,7 @@ class Encoder:
         known = tables[key]
         ids_of = known.__getitem__
         for text in texts:
-            split = any_text if high.search(text) else plain_text
+            split = plain_text if text.isascii() or not high.search(text) else any_text
             if len(text) <= PIECES:
                 data = b"".join(map(ids_of, split.findall(text)))
             else:
@@ -345,7 +346,7 @@ def write(docs: DataFrame, base: str, scratch: Scratch, tokenizer: str, pattern:
 
 
 def _over_files(spark: SparkSession, manifest: DataFrame, answer, kind: str) -> DataFrame:
-    """Ask each file of a manifest; `answer(matrix, start)` yields record batches."""
+    """Ask each file of a manifest; `answer(matrix, start)` yields record batches. A task opens some files, one after another, as starting it costs as much as reading one."""
 
     def rows(batches):
         from pyarrow.fs import FileSystem
@@ -356,7 +357,8 @@ def _over_files(spark: SparkSession, manifest: DataFrame, answer, kind: str) ->
                 with fs.open_input_file(name) as file:
                     yield from answer(Matrix(file), start)
 
-    return manifest.select("path", "start").repartition(max(spark.sparkContext.defaultParallelism, manifest.count()), "path").mapInArrow(rows, kind)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-manifest.count() // TASK_FILES))
+    return manifest.select("path", "start").repartition(tasks, "path").mapInArrow(rows, kind)
 
 
 def read(spark: SparkSession, manifest: DataFrame, ids: bool = True) -> DataFrame:

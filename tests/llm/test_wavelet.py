@@ -87,6 +87,14 @@ def test_documents(spark, docs, texts):
     assert {r[0]: r[1] for r in W.lookup(spark, manifest, some).collect()} == {p: int(flat[p]) for p in range(-3, len(flat) + 3, 7) if 0 <= p < len(flat)}
 
 
+def test_a_task_reads_some_files(spark, texts):
+    rows = [(i, t) for i, t in texts if t and len(t) < 5000]
+    manifest = shards(spark, spark.createDataFrame(rows, "doc_id long, text string"), size=50)
+    files, found = manifest.count(), W.read(spark, manifest, ids=False)
+    assert files > 8 * W.TASK_FILES and found.rdd.getNumPartitions() == -(-files // W.TASK_FILES)
+    assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[1]) == [r[:4] for r in plain(rows)]
+
+
 def test_odd_rows(spark, clashing, nothing):
     got = sorted((tuple(r) for r in W.read(spark, shards(spark, clashing), ids=False).collect()), key=lambda r: r[1])
     want = plain([tuple(r) for r in clashing.select("doc_id", "text").collect()])
