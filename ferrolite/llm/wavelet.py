@@ -24,7 +24,6 @@ import struct
 import sys
 import uuid
 import zlib
-from array import array
 from itertools import islice
 
 import numpy as np
@@ -39,6 +38,7 @@ MAGIC = b"WVMATRX1"
 SHARD_TOKENS = 1 << 20
 TASK_BYTES = 32 << 20
 TASK_FILES = 4
+STEP = 1 << 15
 BLOCK_BYTES = 1 << 14
 BLOCK_BITS = BLOCK_BYTES * 8
 HELD_BLOCKS = 128
@@ -47,7 +47,7 @@ KNOWN = 1 << 19
 LOW = 0x2070
 ANSWERS = 1 << 16
 MANIFEST = "part long, seq long, path string, docs long, tokens long"
-assert array("H").itemsize == 2 and array("I").itemsize == 4 and sys.byteorder == "little", "packed ids are written in the machine's own layout"
+assert sys.byteorder == "little", "packed ids are written in the machine's own layout"
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -77,15 +77,17 @@ def plain_pattern(pattern: str) -> str:
 class Pieces(dict):
     """Packed ids of the pieces met so far, in two generations of bounded size; a new piece goes through the library's model."""
 
-    def __init__(self, made: str, kind: str):
+    def __init__(self, made: str, kind: str, size: int):
         from tokenizers import Tokenizer
 
-        self.tokenize, self.kind, self.older, self.to = Tokenizer.from_str(made).model.tokenize, {"<u2": "H", "<u4": "I"}[kind], {}, dict(enumerate(byte_characters()))
+        self.tokenize, self.older, self.to = Tokenizer.from_str(made).model.tokenize, {}, dict(enumerate(byte_characters()))
+        self.packed = [i.tobytes() for i in np.arange(size, dtype=kind)]
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = array(self.kind, [t.id for t in self.tokenize((piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self.to))]).tobytes()
+            packed = self.packed
+            ids = b"".join([packed[t.id] for t in self.tokenize((piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self.to))])
         if len(self) >= KNOWN:
             self.older = dict(self)
             self.clear()
@@ -112,7 +114,7 @@ class Encoder:
         key = f"pieces {zlib.crc32(self.made.encode())}"
         tables = held("wavelet")
         if key not in tables:
-            tables[key] = Pieces(self.made, self.kind)
+            tables[key] = Pieces(self.made, self.kind, self.size)
         known = tables[key]
         ids_of = known.__getitem__
         for text in texts:
@@ -127,12 +129,27 @@ class Encoder:
             yield np.frombuffer(data, self.kind)
 
 
+def places(set_: np.ndarray, zeros: int):
+    """For each stretch of a plane, short enough for a core's own cache: where it begins, its zeros and ones within it, and where they go below the plane."""
+    zero, one = 0, zeros
+    for a in range(0, len(set_), STEP):
+        part = set_[a : a + STEP]
+        none, some = np.flatnonzero(~part), np.flatnonzero(part)
+        yield a, none, some, slice(zero, zero + len(none)), slice(one, one + len(some))
+        zero, one = zero + len(none), one + len(some)
+
+
 def planes(ids: np.ndarray, bits: int):
     """(packed bits, number of zeros) of each plane, highest bit first."""
     for bit in reversed(range(bits)):
         set_ = (ids & ids.dtype.type(1 << bit)) != 0
-        yield np.packbits(set_, bitorder="little"), len(ids) - int(np.count_nonzero(set_))
-        ids = np.concatenate((ids.take(np.flatnonzero(~set_)), ids.take(np.flatnonzero(set_))))
+        zeros = len(ids) - int(np.count_nonzero(set_))
+        yield np.packbits(set_, bitorder="little"), zeros
+        lower = np.empty_like(ids)
+        for a, none, some, to_zeros, to_ones in places(set_, zeros):
+            part = ids[a : a + STEP]
+            lower[to_zeros], lower[to_ones] = part.take(none), part.take(some)
+        ids = lower
 
 
 def store(out, ids: np.ndarray, bits: int, doc_ids: list, lengths: list[int]) -> None:
@@ -292,9 +309,11 @@ class Matrix:
         for plane in reversed(range(self.bits)):
             packed = np.concatenate([self._packed(plane, b) for b in range(self.blocks)]) if self.blocks else np.empty(0, np.uint8)
             set_ = np.unpackbits(packed, count=self.tokens, bitorder="little").view(bool)
-            upper, none = np.empty_like(ids), self.zeros[plane]
-            upper[np.flatnonzero(~set_)] = ids[:none]
-            upper[np.flatnonzero(set_)] = ids[none:] | self.kind(1 << (self.bits - 1 - plane))
+            upper, zeros = np.empty_like(ids), self.zeros[plane]
+            ids[zeros:] |= self.kind(1 << (self.bits - 1 - plane))
+            for a, none, some, from_zeros, from_ones in places(set_, zeros):
+                part = upper[a : a + STEP]
+                part[none], part[some] = ids[from_zeros], ids[from_ones]
             ids = upper
         return ids
 
