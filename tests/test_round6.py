@@ -44,6 +44,24 @@ def every(ids, labels, own):
     return np.ones(len(ids), bool)
 
 
+@pytest.mark.parametrize("name", ["knn_join", "knn_join_blocked"])
+def test_every_row_is_looked_for(spark, vectors, name):
+    want = {q: [b for b, _ in rows] for q, rows in brute(spark, vectors, 5, every).items()}
+    assert found(ENTRIES[name].run(spark, vectors)) == want and len(want) == 259
+
+
+def test_every_row_is_looked_for_among_its_labels(spark, vectors):
+    got = found(ENTRIES["conditional_knn"].run(spark, vectors))
+    want = brute(spark, vectors, 3, lambda ids, labels, own: (labels == (own + 1) % 10) | (labels == (own + 4) % 10))
+    assert got == {q: [b for b, _ in rows] for q, rows in want.items()}
+
+
+def test_every_row_has_a_match_of_each_class(spark, vectors):
+    got = {r["query_id"]: tuple(r)[1:] for r in ENTRIES["matches_per_class"].run(spark, vectors).collect()}
+    by_class = [brute(spark, vectors, 1, lambda ids, labels, own, c=c: labels == c) for c in range(4)]
+    assert got == {q: tuple(x[q][0][0] for x in by_class) for q in by_class[0]}
+
+
 def test_every_row_that_is_not_for_training_is_classified(spark, vectors):
     got = {r["query_id"]: r["prediction"] for r in ENTRIES["knn_classify"].run(spark, vectors).collect()}
     assert 50 < len(got) < 110 and any(q % 100 for q in got)
