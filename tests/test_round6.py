@@ -86,3 +86,19 @@ def test_a_search_by_blocks_shuffles_no_copies(spark, vectors, monkeypatch):
     df = spark.read.parquet(f"{vectors}/embeddings.parquet")
     plan = K.knn_join(df, df, "vec_id", "embedding", 5, small=False)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "CoGroup" not in plan and "Generate" not in plan
+
+
+def line_items(spark, d, n=400):
+    """The columns of the line items that the searches read; the price follows the quantity."""
+    df = spark.range(n).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 40).alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+                               (F.col("id") % 50 + 1.0).alias("l_quantity"), F.pmod(F.xxhash64("id"), F.lit(11)) / 100.0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(9)) / 100.0,
+                               (F.col("id") % 50 + 1.0).alias("__q"), F.date_add(F.lit("1995-01-01"), F.pmod("id", F.lit(365)).cast("int")).alias("l_shipdate"))
+    df = df.toDF(*df.columns[:5], "l_discount", "l_tax", *df.columns[7:])
+    df.withColumn("l_extendedprice", F.col("__q") * 1500).drop("__q").write.parquet(f"{d}/lineitem.parquet")
+
+
+def test_boruta_goes_on_until_features_are_decided(spark, tmp_path):
+    """After five rounds no feature of four could be confirmed or rejected, whatever its hits."""
+    line_items(spark, tmp_path)
+    got = {r["feature"]: (r["hits"], r["iterations"], r["decision"]) for r in ENTRIES["boruta"].run(spark, str(tmp_path)).collect()}
+    assert got == {"l_quantity": (7, 7, "confirmed")} | {f: (0, 7, "rejected") for f in ("l_discount", "l_tax", "l_linenumber")}
