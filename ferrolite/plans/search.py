@@ -225,13 +225,16 @@ def _(t):
 
 @query("successive_halving", "K18")
 def _(t):
-    train, valid, _ = _parts(t)
+    train, valid = (part.select("features", "label").persist() for part in _parts(t)[:2])  # every fit and score reads them
 
     def objective(params, budget):
         est = I.estimator("gbt", maxIter=budget, maxDepth=int(params["maxDepth"]), seed=1)
         return S.loss_of(auc(), auc().evaluate(est.fit(train).transform(valid)))
 
-    return S.successive_halving(t.spark, objective, {"maxDepth": K.integer(2, 4)}, 4, 2, 1, 4, parallelism=2)
+    try:
+        return S.successive_halving(t.spark, objective, {"maxDepth": K.integer(2, 4)}, 4, 2, 1, 4, parallelism=2)
+    finally:
+        train.unpersist(), valid.unpersist()
 
 
 @query("log_run", "K22")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.operators import neighbors as K
-from ferrolite.plans import load_all
+from ferrolite.plans import load_all, search
 from ferrolite.plans.registry import ENTRIES
 
 load_all()
@@ -102,3 +102,22 @@ def test_boruta_goes_on_until_features_are_decided(spark, tmp_path):
     line_items(spark, tmp_path)
     got = {r["feature"]: (r["hits"], r["iterations"], r["decision"]) for r in ENTRIES["boruta"].run(spark, str(tmp_path)).collect()}
     assert got == {"l_quantity": (7, 7, "confirmed")} | {f: (0, 7, "rejected") for f in ("l_discount", "l_tax", "l_linenumber")}
+
+
+def test_halving_keeps_the_rows_of_its_fits(spark, tmp_path, monkeypatch):
+    line_items(spark, tmp_path)
+    seen = []
+
+    class Model:
+        def fit(self, df):
+            seen.append((df.is_cached, df.columns, df.count()))
+            return self
+
+        def transform(self, df):
+            seen.append((df.is_cached, df.columns, df.count()))
+            return df.withColumn("rawPrediction", F.lit(0.5))
+
+    monkeypatch.setattr(search.I, "estimator", lambda *a, **kw: Model())
+    assert ENTRIES["successive_halving"].run(spark, str(tmp_path)).count() == 7
+    assert len(seen) == 14 and all(cached and columns == ["features", "label"] for cached, columns, _ in seen)
+    assert len({n for _, _, n in seen}) == 2 and 250 < sum({n for _, _, n in seen}) < 400
